@@ -206,3 +206,37 @@ def running_total(
     )
     starts = sums.select(*piece, F.coalesce(before, F.lit(0)).alias("_start"))
     return rows.join(starts, piece).withColumn(name, F.col("_start") + F.col("_in_piece")).select(*df.columns, name)
+
+
+def counts_upto(
+    df: DataFrame, column: str, probes: DataFrame, probe: str, by: Sequence[str] = (), group_limit: int = 1_000_000
+) -> DataFrame:
+    """For each distinct probe: how many values of ``column`` are at most that, and how many there are.
+
+    Values are first counted per distinct value; values and probes are then merged
+    in order and summed along it, so any number of probes costs one pass.
+    """
+    by = list(by)
+    kind = "double"
+    values = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(*by, F.col(column).cast(kind).alias("_point"))
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_probe", F.lit(0))
+    )
+    asked = (
+        probes.filter(F.col(probe).isNotNull())
+        .select(*by, F.col(probe).cast(kind).alias("_point"))
+        .distinct()
+        .withColumns({"_n": F.lit(0).cast("long"), "_probe": F.lit(1)})
+    )
+    merged = values.unionByName(asked)
+    group = by
+    if not by:
+        merged, group = merged.withColumn("_all", F.lit(0)), ["_all"]
+    summed = running_total(merged, "_n", [F.col("_point"), F.col("_probe")], group, "count_upto", group_limit)
+    totals = values.groupBy(*by).agg(F.sum("_n").alias("total"))
+    found = summed.filter("_probe = 1").select(*by, F.col("_point").alias(probe), "count_upto")
+    if by:
+        return found.join(totals, by, "left").fillna(0, ["total"])
+    return found.withColumn("total", F.coalesce(totals.scalar(), F.lit(0)))
