@@ -93,8 +93,12 @@ def sales_sql(product: str = PRODUCT_BRAND, text: str = "STRING") -> str:
     return SALES_SQL.format(product=product.format(text=text), text=text)
 
 
-def _run(spark: SparkSession, folder: str, sql: str, tables: tuple[str, ...]) -> DataFrame:
+def _run(
+    spark: SparkSession, folder: str, sql: str, tables: tuple[str, ...], streams: tuple[str, ...] = ()
+) -> DataFrame:
     args = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in tables}
+    for t in streams:
+        args[t] = spark.readStream.schema(args[t].schema).parquet(f"{folder}/{t}.parquet")
     for t in tables:
         sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
     return spark.sql(sql, **args)
@@ -112,8 +116,11 @@ def brands(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, folder, BRANDS_SQL, ("part",))
 
 
-def requests(spark: SparkSession, folder: str) -> DataFrame:
-    return _run(spark, folder, REQUESTS_SQL.format(text="STRING"), ("lineitem", "part"))
+def requests(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    """Forecast requests; as a stream, line items arrive while parts are a static table."""
+    return _run(
+        spark, folder, REQUESTS_SQL.format(text="STRING"), ("lineitem", "part"), ("lineitem",) if stream else ()
+    )
 
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
