@@ -7,9 +7,9 @@ exact answers from pieces of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from shelfline.session import materialize
 
@@ -18,83 +18,110 @@ from shelfline.session import materialize
 _BUCKETS_PER_UNIT = 16384
 
 
-def value_bucket(value: Column) -> Column:
-    """A bucket number that never falls as the value rises.
+def value_bucket(value: str) -> str:
+    """SQL for a bucket number of a double that never falls as the value rises.
 
     ``log1p`` is semi-monotonic by its specification, so values in different
     buckets are ordered as their buckets are.
     """
-    v = value.cast("double")
-    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * _BUCKETS_PER_UNIT)).cast("long")
+    return f"CAST(signum({value}) * floor(log1p(abs({value})) * {_BUCKETS_PER_UNIT}) AS BIGINT)"
 
 
-def order_statistics(
-    df: DataFrame,
-    picks: Mapping[str, Mapping[str, Callable[[Column], Column]]],
-    by: Sequence[str] = (),
-) -> DataFrame:
+def _number(column: str) -> str:
+    """SQL for a column as a double without NaN."""
+    value = f"CAST({column} AS DOUBLE)"
+    return f"CASE WHEN NOT isnan({value}) THEN {value} END"
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def order_statistics(df: DataFrame, picks: Mapping[str, Mapping[str, str]], by: Sequence[str] = ()) -> DataFrame:
     """Exact values at given positions of sorted columns.
 
-    ``picks`` maps a column to labelled rules; a rule turns the number of
-    non-null values ``n`` into a 0-based position.  The result has one row per
-    (``by``, ``column``, ``label``) with ``value``, and the ``total`` it was taken from.
+    ``picks`` maps a column to labelled rules; a rule is SQL that turns the
+    number of non-null values ``n`` into a 0-based position.  The result has one
+    row per (``by``, ``column``, ``label``) with ``value``, and the ``total`` it was taken from.
 
     First pass: counts per value bucket (combined before the shuffle, so at most
     the bucket bound leaves each task) give the bucket that holds each position.
-    Second pass: only values in those buckets are counted and searched.
+    Second pass: only values in those buckets are counted and searched.  Without
+    ``by`` the first pass runs when this is called.
     """
     by = list(by)
     columns = list(picks)
     values = (
-        df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+        df.selectExpr(*by, *[f"{_number(c)} AS {c}" for c in columns])
         .unpivot(by, columns, "column", "value")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .withColumn("bucket", value_bucket(F.col("value")))
+        .filter("value IS NOT NULL")
+        .withColumn("bucket", F.expr(value_bucket("value")))
     )
     group = [*by, "column"]
-
-    buckets = values.groupBy(*group, "bucket").agg(F.count("*").alias("n"))
-    in_group = Window.partitionBy(*group)
-    upto = F.sum("n").over(in_group.orderBy("bucket"))
-    buckets = buckets.select(
-        *group, "bucket", "n", upto.alias("upto"), F.sum("n").over(in_group).alias("total")
+    in_group = f"OVER (PARTITION BY {', '.join(group)}"
+    cases = " ".join(
+        f"WHEN {_text(c)} THEN array("
+        + ", ".join(f"named_struct('label', {_text(k)}, 'idx', CAST({rule} AS BIGINT))" for k, rule in rules.items())
+        + ")"
+        for c, rules in picks.items()
     )
-    wanted = None
-    for column, rules in picks.items():
-        rows = F.array(*[
-            F.struct(F.lit(label).alias("label"), rule(F.col("total")).cast("long").alias("idx"))
-            for label, rule in rules.items()
-        ])
-        test = F.col("column") == column
-        wanted = F.when(test, rows) if wanted is None else wanted.when(test, rows)
     located = (
-        buckets.withColumn("before", F.col("upto") - F.col("n"))
-        .withColumn(
-            "wanted",
-            F.filter(wanted, lambda t: (t["idx"] >= F.col("before")) & (t["idx"] < F.col("upto"))),
+        values.groupBy(*group, "bucket").agg(F.count("*").alias("_count"))
+        .selectExpr(
+            *group, "bucket", f"sum(_count) {in_group}) AS n", f"sum(_count) {in_group} ORDER BY bucket) AS upto",
+            f"sum(_count) {in_group} ORDER BY bucket) - _count AS before",
         )
-        .filter(F.size("wanted") > 0)
-        .select(*group, "bucket", "before", "wanted", "total")
+        .selectExpr(
+            *group, "bucket", "before", "n AS total",
+            f"filter(CASE column {cases} END, t -> t.idx >= before AND t.idx < upto) AS wanted",
+        )
+        .filter("size(wanted) > 0")
     )
-    if not by:  # at most one row per pick
-        located = F.broadcast(located)
 
     key = [*group, "bucket"]
-    counted = (
-        values.join(located.select(*key), key, "left_semi").groupBy(*key, "value").agg(F.count("*").alias("n"))
+    if by:
+        counted = values.join(located.select(*key), key, "left_semi").groupBy(*key, "value").agg(F.count("*").alias("n"))
+        picked = located.selectExpr(*key, "before", "total", "inline(wanted)")
+    else:
+        rows = located.collect()  # at most one per pick
+        counted = _values_in_buckets(df, {c: [r["bucket"] for r in rows if r["column"] == c] for c in columns})
+        picked = F.broadcast(_picked_table(df.sparkSession, rows))
+    return (
+        counted.withColumn("upto", F.expr(f"sum(n) OVER (PARTITION BY {', '.join(key)} ORDER BY value)"))
+        .join(picked, key)
+        .filter("idx < before + upto AND idx >= before + upto - n")
+        .select(*group, "label", "value", "total")
     )
-    in_bucket = Window.partitionBy(*key).orderBy("value")
+
+
+def _values_in_buckets(df: DataFrame, buckets: Mapping[str, Sequence[int]]) -> DataFrame:
+    """Counts of the distinct values that lie in a few buckets of each column."""
+    def hits(c: str, found: Sequence[int]) -> str:
+        value = _number(c)
+        chosen = f"{value_bucket(value)} IN ({', '.join(f'{b}L' for b in found)})" if found else "FALSE"
+        return f"CASE WHEN {chosen} THEN {value} END AS {c}"
+
     return (
-        counted.join(located, key)
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_bucket))
-        .select(*group, "value", "n", "upto", "total", F.explode("wanted").alias("pick"))
-        .filter((F.col("pick.idx") < F.col("upto")) & (F.col("pick.idx") >= F.col("upto") - F.col("n")))
-        .select(*group, F.col("pick.label").alias("label"), "value", "total")
+        df.selectExpr(*[hits(c, found) for c, found in buckets.items()])
+        .unpivot([], list(buckets), "column", "value")
+        .filter("value IS NOT NULL")
+        .groupBy("column", "value").agg(F.count("*").alias("n"))
+        .withColumn("bucket", F.expr(value_bucket("value")))
     )
 
 
-def _position(q: float, n: Column) -> Column:
-    return F.lit(float(q)) * (n - 1)
+def _picked_table(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:
+    """The located picks as an inline table."""
+    values = [
+        f"({_text(r['column'])}, {r['bucket']}L, {r['before']}L, {r['total']}L, {_text(t['label'])}, {t['idx']}L)"
+        for r in rows for t in r["wanted"]
+    ]
+    table = f"VALUES {', '.join(values) or '(NULL, 0L, 0L, 0L, NULL, 0L)'} AS t(column, bucket, before, total, label, idx)"
+    return spark.sql(f"SELECT CAST(column AS STRING) AS column, bucket, before, total, CAST(label AS STRING) AS label, idx FROM {table}")
+
+
+def quantile_position(q: float, n: str = "n") -> str:
+    return f"{float(q)}D * ({n} - 1)"
 
 
 def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
@@ -103,24 +130,20 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], by: Sequence
     Without ``by`` the result is one row, also for an empty input (all NULL).
     """
     picks = {
-        c: {
-            f"{q}{side}": (lambda n, q=q, f=f: f(_position(q, n)))
-            for q in qs
-            for side, f in (("lo", F.floor), ("hi", F.ceil))
-        }
+        c: {f"{q} {side}": f"{side}({quantile_position(q)})" for q in qs for side in ("floor", "ceil")}
         for c, qs in wanted.items()
     }
-    found = order_statistics(df, picks, by)
+
+    def side(c: str, q: float, name: str) -> str:
+        return f"max(CASE WHEN column = {_text(c)} AND label = {_text(f'{q} {name}')} THEN value END)"
+
     out = []
     for c, qs in wanted.items():
+        n = f"max(CASE WHEN column = {_text(c)} THEN total END)"
         for q in qs:
-            def side(name: str) -> Column:
-                return F.max(F.when((F.col("column") == c) & (F.col("label") == f"{q}{name}"), F.col("value")))
-
-            n = F.max(F.when(F.col("column") == c, F.col("total")))
-            share = _position(q, n) - F.floor(_position(q, n))
-            out.append((side("lo") + (side("hi") - side("lo")) * share).alias(quantile_name(c, q)))
-    return (found.groupBy(*by) if by else found).agg(*out)
+            low, high, at = side(c, q, "floor"), side(c, q, "ceil"), quantile_position(q, n)
+            out.append(F.expr(f"{low} + ({high} - {low}) * ({at} - floor({at}))").alias(quantile_name(c, q)))
+    return order_statistics(df, picks, by).groupBy(*by).agg(*out)
 
 
 def quantile_name(column: str, q: float) -> str:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
+from shelfline.functions.joins import small_side
 from shelfline.functions.ordering import quantile_name, quantiles
 
 KEY = ("sale_date", "store_id", "product_id")
@@ -37,57 +38,50 @@ def drop_invalid(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(invalid, F.lit(False)))
 
 
-def etl_statistics(df: DataFrame) -> DataFrame:
-    """One row with the three p99 caps and the median competitor price."""
+def etl_statistics(df: DataFrame) -> Row:
+    """The three p99 caps and the median competitor price, from two passes over ``df``."""
     return quantiles(
         df,
         {"units_sold": [P99], "unit_price": [P99], "revenue": [P99], "competitor_price": [MEDIAN]},
-    )
-
-
-def _scalar(stats: DataFrame, name: str) -> Column:
-    """A field of a one-row frame as a scalar subquery; equal subqueries run once."""
-    return stats.select(F.struct(*stats.columns)).scalar()[name]
+    ).first()
 
 
-def cap_p99(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+def cap_p99(df: DataFrame, stats: Row | None = None) -> DataFrame:
     """Cap units, price and revenue at their 99th percentile.
 
     The cap of units is rounded to an integer.  ``least`` skips NULL, so a
     missing measure takes the cap, as it does in SQL.
     """
+    columns = ("units_sold", "unit_price", "revenue")
     if stats is None:
-        stats = quantiles(df, {c: [P99] for c in ("units_sold", "unit_price", "revenue")})
-    caps: Mapping[str, Column] = {c: _scalar(stats, quantile_name(c, P99)) for c in ("units_sold", "unit_price", "revenue")}
+        stats = quantiles(df, {c: [P99] for c in columns}).first()
     types = dict(df.dtypes)
-    return df.withColumns({
-        "units_sold": F.least("units_sold", F.bround(caps["units_sold"]).cast(types["units_sold"])),
-        "unit_price": F.least("unit_price", caps["unit_price"].cast(types["unit_price"])),
-        "revenue": F.least("revenue", caps["revenue"].cast(types["revenue"])),
-    })
+    caps = {c: F.lit(stats[quantile_name(c, P99)]).cast("double") for c in columns}
+    caps["units_sold"] = F.bround(caps["units_sold"])
+    return df.withColumns({c: F.least(F.col(c), caps[c].cast(types[c])) for c in columns})
 
 
-def fill_median(df: DataFrame, column: str = "competitor_price", stats: DataFrame | None = None) -> DataFrame:
+def fill_median(df: DataFrame, column: str = "competitor_price", stats: Row | None = None) -> DataFrame:
     """Replace missing values of ``column`` by its median."""
     if stats is None:
-        stats = quantiles(df, {column: [MEDIAN]})
-    median = _scalar(stats, quantile_name(column, MEDIAN)).cast(dict(df.dtypes)[column])
+        stats = quantiles(df, {column: [MEDIAN]}).first()
+    median = F.lit(stats[quantile_name(column, MEDIAN)]).cast("double").cast(dict(df.dtypes)[column])
     return df.withColumn(column, F.coalesce(column, median))
 
 
 def enrich(sales: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     """Add store and product attributes, gross profit and effective discount.
 
-    Left joins without hints: Spark broadcasts a dimension that measures small
-    enough, and shuffles (splitting hot keys) otherwise.
+    A dimension is broadcast if it measures small enough; otherwise Spark shuffles
+    and splits hot keys.
     """
     store_side = stores.select("store_id", "region", "store_type", "store_size_sqft")
     product_side = products.select("product_id", "sub_category", "base_price", "cost_price", "is_perishable")
     price, base = F.col("unit_price"), F.col("base_price")
     discount = F.round(F.try_divide((base - price), base) * 100, 2)
     return (
-        sales.join(store_side, "store_id", "left")
-        .join(product_side, "product_id", "left")
+        sales.join(small_side(store_side), "store_id", "left")
+        .join(small_side(product_side), "product_id", "left")
         .withColumns({
             "gross_profit": F.col("revenue") - F.col("units_sold") * F.col("cost_price"),
             "effective_discount": F.when(base > 0, discount).otherwise(0).cast("decimal(18,2)"),

@@ -144,10 +144,7 @@ def reorder_point(
 
     Input order does not matter.  An empty input has a reorder point of 0.
     """
-    def level(n: Column) -> Column:
-        last = n - 1
-        return F.greatest(F.lit(0), F.least(F.floor(F.lit(float(service_level)) * last), last))
-
+    level = f"greatest(0, least(floor({float(service_level)}D * (n - 1)), n - 1))"
     picked = order_statistics(df, {column: {"level": level}}, by)
     means = df.filter(F.col(column).isNotNull()).groupBy(*by).agg(F.avg(column).alias("_mean"))
     if by:
@@ -195,7 +192,7 @@ def threshold_counts(df: DataFrame, thresholds: Sequence[float] | DataFrame, col
     )
 
 
-def _picked(df: DataFrame, column: str, rules: dict, name: str, by: Sequence[str]) -> DataFrame:
+def _picked(df: DataFrame, column: str, rules: dict[float, str], name: str, by: Sequence[str]) -> DataFrame:
     found = order_statistics(df, {column: {str(k): rule for k, rule in rules.items()}}, by)
     return found.select(*by, F.col("label").cast("double").alias(name), "value")
 
@@ -204,14 +201,12 @@ def threshold_for_rate(
     df: DataFrame, rates: Sequence[float], column: str = "units_sold", by: Sequence[str] = ()
 ) -> DataFrame:
     """The value below which about ``rate`` of the rows lie; the extremes outside (0, 1)."""
-    def rule(rate: float):
-        def position(n: Column) -> Column:
-            if rate <= 0:
-                return F.lit(0)
-            return n - 1 if rate >= 1 else F.least(F.floor(F.lit(float(rate)) * n), n - 1)
-        return position
+    def rule(rate: float) -> str:
+        if rate <= 0:
+            return "0"
+        return "n - 1" if rate >= 1 else f"least(floor({rate}D * n), n - 1)"
 
-    return _picked(df, column, {float(r): rule(r) for r in rates}, "rate", by)
+    return _picked(df, column, {float(r): rule(float(r)) for r in rates}, "rate", by)
 
 
 def percentile_lookup(
@@ -220,8 +215,7 @@ def percentile_lookup(
     """The value at each percentile, without interpolation."""
     if any(not 0 <= p <= 100 for p in percents):
         raise ValueError("percentiles lie between 0 and 100")
-    rules = {float(p): (lambda n, p=p: F.floor(F.lit(p / 100) * (n - 1))) for p in percents}
-    return _picked(df, column, rules, "percentile", by)
+    return _picked(df, column, {float(p): f"floor({p / 100}D * (n - 1))" for p in percents}, "percentile", by)
 
 
 # Risk and segments

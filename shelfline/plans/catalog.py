@@ -356,7 +356,7 @@ _HIGH, _MEDIUM = "COUNT(*) FILTER (WHERE stockout_risk = 'High')", "COUNT(*) FIL
 
 @register(
     "mart_daily_store",
-    "sale_date store_id region store_type num_transactions:i total_units:i total_revenue:d avg_units:d avg_price_ratio:d",
+    "sale_date store_id region store_type num_transactions:i total_units:i total_revenue:d avg_units:d avg_price_ratio:a",
     _warehouse("features", """SELECT sale_date, store_id, region, store_type, COUNT(*) AS num_transactions,
         SUM(units_sold) AS total_units, SUM(revenue) AS total_revenue, AVG(units_sold) AS avg_units,
         AVG(price_ratio) AS avg_price_ratio FROM features GROUP BY 1, 2, 3, 4"""),
@@ -367,7 +367,7 @@ def _(spark, folder):
 
 @register(
     "mart_category",
-    "category total_records:i total_units:i total_revenue:d avg_daily_demand:d avg_volatility:d high_stockout_count:i promo_demand_lift:d",
+    "category total_records:i total_units:i total_revenue:d avg_daily_demand:d avg_volatility:a high_stockout_count:i promo_demand_lift:d",
     _warehouse("features", f"""SELECT category, COUNT(*) AS total_records, SUM(units_sold) AS total_units,
         SUM(revenue) AS total_revenue, AVG(units_sold) AS avg_daily_demand, AVG(demand_volatility) AS avg_volatility,
         {_HIGH} AS high_stockout_count,
@@ -390,7 +390,7 @@ def _(spark, folder):
     return marts.regional_demand(_features(spark, folder))
 
 
-_STOCKOUT = "product_id category total_days:i high_risk_days:i medium_risk_days:i stockout_frequency_pct:d avg_demand:d avg_volatility:d"
+_STOCKOUT = "product_id category total_days:i high_risk_days:i medium_risk_days:i stockout_frequency_pct:d avg_demand:d avg_volatility:a"
 _STOCKOUT_SQL = _warehouse("features", f"""SELECT product_id, category, COUNT(*) AS total_days,
     {_HIGH} AS high_risk_days, {_MEDIUM} AS medium_risk_days,
     {oracle.near(f"CAST({_HIGH} AS DOUBLE) / COUNT(*) * 100", 2)} AS stockout_frequency_pct,
@@ -404,7 +404,7 @@ def _(spark, folder):
 
 
 @register(
-    "mart_promo", "category is_promotion:n record_count:i avg_demand:d avg_revenue:d avg_price_ratio:d",
+    "mart_promo", "category is_promotion:n record_count:i avg_demand:d avg_revenue:d avg_price_ratio:a",
     _warehouse("features", """SELECT category, is_promotion, COUNT(*) AS record_count, AVG(units_sold) AS avg_demand,
         AVG(revenue) AS avg_revenue, AVG(price_ratio) AS avg_price_ratio FROM features GROUP BY 1, 2"""),
 )
@@ -469,7 +469,7 @@ def _(spark, folder):
     return dashboard.promo_vs_base(_features(spark, folder))
 
 
-@register("category_volatility", "category avg_volatility:d", _warehouse(
+@register("category_volatility", "category avg_volatility:a", _warehouse(
     "features", "SELECT category, AVG(demand_volatility) AS avg_volatility FROM features GROUP BY 1"))
 def _(spark, folder):
     return dashboard.category_volatility(_features(spark, folder))
@@ -483,7 +483,7 @@ def _(spark, folder):
 
 @register(
     "category_summary",
-    "category avg_demand:d total_revenue:d promo_lift_pct:d avg_volatility:d high_risk_pct:d volatility_badge risk_badge",
+    "category avg_demand:d total_revenue:d promo_lift_pct:d avg_volatility:a high_risk_pct:d volatility_badge risk_badge",
     _warehouse("features", """SELECT *,
         CASE WHEN avg_volatility < 0.5 THEN 'Low' WHEN avg_volatility < 1.0 THEN 'Medium' ELSE 'High' END AS volatility_badge,
         CASE WHEN high_risk_pct < 1 THEN 'Low' WHEN high_risk_pct < 5 THEN 'Medium' ELSE 'High' END AS risk_badge
@@ -982,7 +982,7 @@ def _(spark, folder):
 
 def _event_stream(spark, folder):
     path = f"{folder}/events.parquet"
-    return jobs.event_source(spark, path, spark.read.parquet(path).schema)
+    return jobs.event_source(spark, f"{path}*", spark.read.parquet(path).schema)
 
 
 def _run(spark: SparkSession, stream: DataFrame) -> DataFrame:

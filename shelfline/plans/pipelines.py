@@ -24,7 +24,7 @@ def clean(sales: DataFrame, stores: DataFrame | None, products: DataFrame | None
         products = products.select("product_id", *[c for c in products.columns if c not in known]).distinct()
     # Medians, modes and percentiles each read these rows, so they are written once.
     rows = materialize(cleaning.merge_metadata(rows, stores, products))
-    return cleaning.winsorize(cleaning.impute(rows), exact=exact)
+    return cleaning.impute_and_winsorize(rows) if exact else cleaning.winsorize(cleaning.impute(rows), exact=False)
 
 
 def etl_stages(sales: DataFrame, stores: DataFrame, products: DataFrame) -> dict[str, DataFrame]:

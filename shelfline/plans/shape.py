@@ -2,7 +2,8 @@
 
 A column is ``name`` or ``name:kind``: ``i`` is a 64-bit integer, ``n`` a 32-bit
 one, ``d`` a double rounded to six digits (sums and means may differ in the last
-bits with the order of addition), ``t`` a date.
+bits with the order of addition), ``a`` one rounded to nine (means of small values
+that often lie half way between two six-digit numbers), ``t`` a date.
 """
 
 from __future__ import annotations
@@ -10,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+_DIGITS = {"d": 6, "a": 9}
+
+
 def _parts(columns: str) -> list[tuple[str, str]]:
     return [tuple((c + ":").split(":")[:2]) for c in columns.split()]
 
@@ -20,9 +24,9 @@ def _spark(name: str, kind: str) -> Column:
         col = col.cast("long")
     elif kind == "n":
         col = col.cast("int")
-    elif kind == "d":
+    elif kind in _DIGITS:
         # adding zero turns -0.0 into 0.0
-        col = F.round(col.cast("double"), 6) + F.lit(0.0)
+        col = F.round(col.cast("double"), _DIGITS[kind]) + F.lit(0.0)
     elif kind == "t":
         col = col.cast("date")
     return col.alias(name)
@@ -31,7 +35,7 @@ def _spark(name: str, kind: str) -> Column:
 def _sql(name: str, kind: str) -> str:
     text = {
         "": name, "i": f"CAST({name} AS BIGINT)", "n": f"CAST({name} AS INTEGER)",
-        "d": f"ROUND(CAST({name} AS DOUBLE), 6) + 0.0", "t": f"CAST({name} AS DATE)",
+        **{k: f"ROUND(CAST({name} AS DOUBLE), {n}) + 0.0" for k, n in _DIGITS.items()}, "t": f"CAST({name} AS DATE)",
     }[kind]
     return f"{text} AS {name}"
 

@@ -98,7 +98,7 @@ def _run(
 ) -> DataFrame:
     args = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in tables}
     for t in streams:
-        args[t] = spark.readStream.schema(args[t].schema).parquet(f"{folder}/{t}.parquet")
+        args[t] = spark.readStream.schema(args[t].schema).parquet(f"{folder}/{t}.parquet*")
     for t in tables:
         sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
     return spark.sql(sql, **args)

@@ -15,7 +15,10 @@ from shelfline.operators import quality, scoring
 
 
 def event_source(spark: SparkSession, path: str, schema, **options) -> DataFrame:
-    """A file stream whose ``ts`` is a timestamp that watermarks accept."""
+    """A file stream whose ``ts`` is a timestamp that watermarks accept.
+
+    ``path`` is a folder or a pattern; a stream does not read a single file by name.
+    """
     return spark.readStream.schema(schema).options(**options).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
