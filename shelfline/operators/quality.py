@@ -45,13 +45,18 @@ def with_violations(df: DataFrame, rules: Rules) -> DataFrame:
     return df.withColumn("violations", violations(rules))
 
 
+def keeps_all(rules: Rules) -> Column:
+    """Whether a row keeps every rule; stops at the first broken one."""
+    kept = F.lit(True)
+    for rule in rules.values():
+        kept = kept & F.coalesce(rule, F.lit(False))
+    return kept
+
+
 def validate(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """Split into rows that keep every rule and quarantined rows with their ``violations``."""
-    marked = with_violations(df, rules)
-    return (
-        marked.filter(F.size("violations") == 0).drop("violations"),
-        marked.filter(F.size("violations") > 0),
-    )
+    kept = keeps_all(rules)
+    return df.filter(kept), with_violations(df.filter(~kept), rules)
 
 
 def table_rules(table: str) -> dict[str, Column]:

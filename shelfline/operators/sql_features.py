@@ -99,4 +99,5 @@ def drop_warmup(df: DataFrame, days: int = WARMUP_DAYS, start: DataFrame | None
 def demand_features(enriched: DataFrame) -> DataFrame:
     """All warehouse-track features; needs one row per day, store and product."""
     df = enriched.select(*BASE_COLUMNS)
-    return drop_warmup(bands(price_ratio(demand_rank(rolling(lags(df))))), start=enriched)
+    # ranked first, while the rows to shuffle are narrow
+    return drop_warmup(bands(price_ratio(rolling(lags(demand_rank(df))))), start=enriched)

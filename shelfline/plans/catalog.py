@@ -705,7 +705,7 @@ def _(spark, folder):
     by = ["store_id"]
     prefix = inventory.prefix_sums(inventory.daily_totals(_features(spark, folder), by), by)
     key = F.col("s_suppkey")
-    asked = spark.read.parquet(f"{folder}/supplier.parquet").select(
+    asked = tpch.table(spark, folder, "supplier").select(
         F.concat(F.lit("S"), key.cast("string")).alias("store_id"),
         (key % 30 - 3).alias("left"), (key % 30 + key % 1000).alias("right"),
     )
@@ -744,7 +744,7 @@ def _(spark, folder):
 
 
 def _reorders(spark, folder):
-    return spark.read.parquet(f"{folder}/orders.parquet").select(
+    return tpch.table(spark, folder, "orders").select(
         F.col("o_orderstatus").alias("warehouse"), F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("product_id"),
         (6 - F.substring("o_orderpriority", 1, 1).cast("int")).alias("urgency"), F.col("o_totalprice").alias("quantity"),
     )
@@ -789,8 +789,8 @@ _BROKEN = "SELECT *, array_to_string(broken, ',') AS violations FROM checked"
 
 @register("request_validation", "store_id product_id category current_price:d violations", _requests("checked", _BROKEN))
 def _(spark, folder):
-    valid, quarantine = quality.validate_requests(tpch.requests(spark, folder))
-    marked = valid.withColumn("violations", F.array().cast("array<string>")).unionByName(quarantine)
+    rows = quality.with_request_defaults(tpch.requests(spark, folder))
+    marked = quality.with_violations(rows, quality.request_rules())
     return marked.withColumn("violations", F.array_join("violations", ","))
 
 
@@ -830,7 +830,7 @@ def _(spark, folder):
         CASE WHEN COUNT(*) > 12 THEN 'stores' END) AS violations
     FROM (SELECT *, o_custkey % 40 * 30000 AS total FROM orders) GROUP BY 1""")
 def _(spark, folder):
-    requests = spark.read.parquet(f"{folder}/orders.parquet").select(
+    requests = tpch.table(spark, folder, "orders").select(
         F.col("o_custkey").cast("string").alias("group_id"), F.col("o_orderkey").alias("store_idx"),
         (F.col("o_totalprice") - 2000).alias("demand"), F.lit(10).cast("long").alias("capacity"),
         (F.col("o_custkey") % 40 * 30000).alias("total_inventory"),
@@ -981,8 +981,7 @@ def _(spark, folder):
 # Streams
 
 def _event_stream(spark, folder):
-    path = f"{folder}/events.parquet"
-    return jobs.event_source(spark, f"{path}*", spark.read.parquet(path).schema)
+    return jobs.event_source(spark, f"{folder}/events.parquet*", tpch.TABLES["events"])
 
 
 def _run(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -1032,13 +1031,13 @@ def _(spark, folder):
 
 @register("stream_score", _RESPONSE, _requests("scored"))
 def _(spark, folder):
-    responses, _ = jobs.score_requests(tpch.requests(spark, folder, stream=True))
+    responses, _ = jobs.score_requests(tpch.requests(spark, folder, streaming=True))
     return _run(spark, responses)
 
 
 @register("stream_quarantine", "store_id product_id violations", _requests("checked", f"SELECT * FROM ({_BROKEN}) WHERE len(broken) > 0"))
 def _(spark, folder):
-    _, quarantine = jobs.score_requests(tpch.requests(spark, folder, stream=True))
+    _, quarantine = jobs.score_requests(tpch.requests(spark, folder, streaming=True))
     return _run(spark, quarantine).withColumn("violations", F.array_join("violations", ","))
 
 

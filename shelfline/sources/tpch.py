@@ -93,12 +93,41 @@ def sales_sql(product: str = PRODUCT_BRAND, text: str = "STRING") -> str:
     return SALES_SQL.format(product=product.format(text=text), text=text)
 
 
+# Columns of the source tables.
+TABLES = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+_ROW_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A source table.  A large one that arrives in fewer splits than there are cores is spread over them;
+    one with more splits, as on a cluster, is read as it is."""
+    df = spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _ROW_KEY and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, _ROW_KEY[name])
+    return df
+
+
+def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # a stream reads a folder or a pattern, not a single file by name
+    return spark.readStream.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet*")
+
+
 def _run(
     spark: SparkSession, folder: str, sql: str, tables: tuple[str, ...], streams: tuple[str, ...] = ()
 ) -> DataFrame:
-    args = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in tables}
-    for t in streams:
-        args[t] = spark.readStream.schema(args[t].schema).parquet(f"{folder}/{t}.parquet*")
+    args = {t: (stream if t in streams else table)(spark, folder, t) for t in tables}
     for t in tables:
         sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
     return spark.sql(sql, **args)
@@ -116,10 +145,10 @@ def brands(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, folder, BRANDS_SQL, ("part",))
 
 
-def requests(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+def requests(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     """Forecast requests; as a stream, line items arrive while parts are a static table."""
     return _run(
-        spark, folder, REQUESTS_SQL.format(text="STRING"), ("lineitem", "part"), ("lineitem",) if stream else ()
+        spark, folder, REQUESTS_SQL.format(text="STRING"), ("lineitem", "part"), ("lineitem",) if streaming else ()
     )
 
 
@@ -146,4 +175,4 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """The event stream with a UTC timestamp type that watermarks accept."""
-    return spark.read.parquet(f"{folder}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))

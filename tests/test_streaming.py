@@ -58,7 +58,7 @@ def test_daily_mart_keeps_the_latest_totals(spark, parts, tmp_path):
 
 
 def test_scoring(spark, tmp_path):
-    responses, quarantine = jobs.score_requests(tpch.requests(spark, DATA, stream=True))
+    responses, quarantine = jobs.score_requests(tpch.requests(spark, DATA, streaming=True))
     for name, df in (("good", responses), ("bad", quarantine)):
         jobs.run_to_files(df, str(tmp_path / name), str(tmp_path / f"{name}-state")).awaitTermination()
     valid, bad = quality.validate_requests(tpch.requests(spark, DATA))
