@@ -241,7 +241,8 @@ def counts_upto(
     """
     by = list(by)
     kind = "double"
-    values = (
+    # the counts feed the running total, its size check and the totals
+    values = materialize(
         df.filter(F.col(column).isNotNull())
         .groupBy(*by, F.col(column).cast(kind).alias("_point"))
         .agg(F.count("*").alias("_n"))

@@ -61,9 +61,14 @@ def bundle_pairs(
     def row(point, kind: int):
         return F.struct(point.cast("decimal(20,6)").alias("point"), F.lit(kind).alias("kind"))
 
+    # one row per product, read several times below
+    products = materialize(
+        products.filter(value.isNotNull()).select(*group, F.col(item).alias("item"), value.alias("value"))
+    )
+    value = F.col("value")
     # Three rows per product: itself, and the two demands between which its partners lie.
-    points = products.filter(value.isNotNull()).select(
-        *group, F.col(item).alias("item"), value.alias("value"),
+    points = products.select(
+        *group, "item", "value",
         F.inline(F.array(row(value, _ITEM), row(goal - slack - value, _BELOW), row(goal + slack - value, _UPTO))),
     ).withColumn("weight", (F.col("kind") == _ITEM).cast("long"))
     counted = running_total(
@@ -73,7 +78,7 @@ def bundle_pairs(
     def count_at(kind: int):
         return F.max(F.when(F.col("kind") == kind, F.col("count")))
 
-    sizes = products.filter(value.isNotNull()).groupBy(*group).agg(F.count("*").alias("n"))
+    sizes = products.groupBy(*group).agg(F.count("*").alias("n"))
     placed = (
         counted.groupBy(*group, "item", "value")
         .agg(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.functions.columns import round_half_even
 from shelfline.functions.ordering import counts_upto, order_statistics, running_total, with_position
+from shelfline.session import materialize
 
 # Fixed value: most units that one allocation distributes.
 UNIT_CAP = 10_000
@@ -73,7 +74,8 @@ def store_requests(features: DataFrame, n_stores: int | None = 10, total_invento
     if n_stores is None:
         means = with_position(means, [F.col("store_id")], name="store_idx")
     else:
-        means = means.orderBy("store_id").limit(n_stores)
+        # a handful of rows that several later steps read
+        means = materialize(means.orderBy("store_id").limit(n_stores))
         means = means.withColumn("store_idx", (F.row_number().over(Window.orderBy("store_id")) - 1).cast("long"))
     return means.select(
         F.lit("all").alias("group_id"), "store_idx", "store_id", "demand",

@@ -657,7 +657,7 @@ def _(spark, folder):
     "features", _counts_sql("CAST(revenue AS DOUBLE)"),
     thresholds="SELECT DISTINCT CAST(max(unit_price) AS DOUBLE) AS threshold FROM features GROUP BY store_id"))
 def _(spark, folder):
-    rows = _features(spark, folder)
+    rows = materialize(_features(spark, folder))
     asked = rows.groupBy("store_id").agg(F.max("unit_price").cast("double").alias("threshold"))
     return inventory.threshold_counts(rows, asked.select("threshold"), "revenue")
 
@@ -884,7 +884,7 @@ _CUTOFF = """SELECT MIN(sale_date) AS cutoff FROM (SELECT sale_date, SUM(COUNT(*
 @register("date_split", _SPLIT, _warehouse("features", _SPLIT_SQL, cutoff=_CUTOFF, parts="""
     SELECT *, CASE WHEN sale_date <= cutoff THEN 'train' ELSE 'test' END AS part FROM features, cutoff"""))
 def _(spark, folder):
-    return _split_totals(*modeling.date_split(_features(spark, folder)))
+    return _split_totals(*modeling.date_split(materialize(_features(spark, folder))))
 
 
 @register("positional_split", _SPLIT, _warehouse("features", _SPLIT_SQL, parts="""
@@ -903,7 +903,7 @@ _SCALED = ["lag_1d", "rolling_7d_mean", "rolling_30d_mean", "price_ratio", "is_p
     fitted="SELECT " + ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in _SCALED)
     + " FROM features, cutoff WHERE sale_date <= cutoff"))
 def _(spark, folder):
-    train, test = modeling.date_split(_features(spark, folder))
+    train, test = modeling.date_split(materialize(_features(spark, folder)))
     return modeling.standardize(train, [test], _SCALED)[1]
 
 
@@ -955,7 +955,8 @@ _MODEL_INPUT = ["lag_1d", "lag_7d", "rolling_7d_mean", "rolling_30d_mean", "pric
 
 def _trained(spark, folder):
     rows = _features(spark, folder).fillna(0, _MODEL_INPUT)
-    train, test = modeling.date_split(rows.select("sale_date", "store_id", "product_id", "units_sold", *_MODEL_INPUT))
+    rows = materialize(rows.select("sale_date", "store_id", "product_id", "units_sold", *_MODEL_INPUT))
+    train, test = modeling.date_split(rows)
     models = {"boosted_trees": modeling.boosted_trees(trees=10, depth=4), "linear": modeling.linear_model()}
     fitted, metrics = modeling.train_models(train, test, _MODEL_INPUT, models=models)
     return fitted, metrics, test
