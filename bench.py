@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from shelfline.plans import catalog
 
 HEADLINE = [
-    "etl_dedup_latest", "etl_enriched", "clean_pipeline", "features_dashboard", "sql_demand_features", "mart_daily_store",
+    "etl_dedup_latest", "etl_enriched", "clean_full", "features_dashboard", "sql_demand_features", "mart_daily_store",
     "mart_category", "mart_regional", "mart_stockout", "mart_promo", "category_summary", "allocate_inventory",
     "anomaly_summary", "reorder_point", "stockout_topk", "segment_stats", "percentile_lookup", "bundle_pairs",
     "reorder_schedule", "forecast_score", "request_validation", "stream_daily_mart",

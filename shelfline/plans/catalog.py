@@ -168,20 +168,17 @@ _NULLS = " + ".join(
 
 
 @register("clean_quality_report", "check passed observed:i", _frame("dated", """
-    SELECT unnest(['no_nulls', 'enough_rows', 'no_negative_units', 'has_date_range', 'has_multiple_stores']) AS check,
+    SELECT unnest(['no_nulls', 'enough_rows', 'no_negative_units', 'has_date_range', 'has_multiple_stores']) AS "check",
            unnest([nulls = 0, n > 100000, bad = 0, dates > 100, stores > 1]) AS passed,
            unnest([nulls, n, bad, dates, stores]) AS observed FROM seen""", seen=f"""
     SELECT {_NULLS} AS nulls, COUNT(*) AS n,
            COUNT(*) FILTER (WHERE NOT COALESCE(units_sold >= 0, FALSE)) AS bad,
-           COUNT(DISTINCT sale_date) AS dates, COUNT(DISTINCT store_id) AS stores FROM dated""").replace("AS check", 'AS "check"'))
+           COUNT(DISTINCT sale_date) AS dates, COUNT(DISTINCT store_id) AS stores FROM dated"""))
 def _(spark, folder):
     return quality.quality_report(cleaning.parse_dates(tpch.raw_sales(spark, folder)))
 
 
-ORACLES["clean_quality_report"] = ORACLES["clean_quality_report"].replace("SELECT check AS check", 'SELECT "check" AS "check"')
-
-
-@register("clean_pipeline", _CSV + _CALENDAR + _DIMENSIONS, _frame("cleaned"))
+@register("clean_full", _CSV + _CALENDAR + _DIMENSIONS, _frame("cleaned"))
 def _(spark, folder):
     return _cleaned(spark, folder)
 
@@ -699,8 +696,7 @@ def _(spark, folder):
         ON d.store_id = q.store_id AND d.i BETWEEN q."left" AND q."right" GROUP BY 1, 2, 3""",
     numbered=f"SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY sale_date) - 1 AS i FROM ({_STORE_DAYS})",
     queries="""SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS store_id, s_suppkey % 30 - 3 AS "left",
-        s_suppkey % 30 + s_suppkey % 1000 AS "right" FROM supplier""")
-    .replace('SELECT store_id AS store_id, CAST(left', 'SELECT store_id AS store_id, CAST("left"'))
+        s_suppkey % 30 + s_suppkey % 1000 AS "right" FROM supplier"""))
 def _(spark, folder):
     by = ["store_id"]
     prefix = inventory.prefix_sums(inventory.daily_totals(_features(spark, folder), by), by)
@@ -712,11 +708,6 @@ def _(spark, folder):
     return inventory.range_demand(prefix, asked, by).filter("total_demand IS NOT NULL")
 
 
-ORACLES["range_demand"] = (
-    ORACLES["range_demand"].replace("CAST(left AS", 'CAST("left" AS').replace("CAST(right AS", 'CAST("right" AS')
-    .replace(") AS left,", ') AS "left",').replace(") AS right,", ') AS "right",')
-)
-
 _PARTS = f"""
     SELECT category, product_id, CAST(AVG(units_sold) AS DECIMAL(18,6)) AS demand
     FROM ({tpch.sales_sql(tpch.PRODUCT_PART, "VARCHAR")}) GROUP BY 1, 2 HAVING COUNT(units_sold) > 0"""
@@ -912,7 +903,7 @@ _SEQUENCE = ["units_sold", "is_promotion", "is_holiday"]
 
 @register("sequences", _KEY + "flat target:i", _warehouse("features", f"""
     SELECT *, array_to_string(flatten(rows), ',') AS flat, units_sold AS target FROM (
-        SELECT *, list([{', '.join(_SEQUENCE)}]) OVER ({_KEY and oracle._K} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS rows
+        SELECT *, list([{', '.join(_SEQUENCE)}]) OVER ({oracle.SERIES} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS rows
         FROM features) WHERE len(rows) = 5"""))
 def _(spark, folder):
     rows = modeling.sequences(_features(spark, folder), _SEQUENCE, length=5)

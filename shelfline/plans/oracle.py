@@ -14,7 +14,7 @@ _TIES = [
     "id", "category", "units_sold", "unit_price", "revenue", "discount_pct", "is_promotion", "is_holiday",
     "competitor_price",
 ]
-_K = "PARTITION BY store_id, product_id ORDER BY sale_date"
+SERIES = "PARTITION BY store_id, product_id ORDER BY sale_date"
 
 
 def near(expr: str, digits: int) -> str:
@@ -65,14 +65,14 @@ WAREHOUSE = {
           LAG(units_sold, 1) OVER w AS lag_1d, LAG(units_sold, 7) OVER w AS lag_7d,
           LAG(units_sold, 14) OVER w AS lag_14d, LAG(units_sold, 30) OVER w AS lag_30d,
           units_sold - LAG(units_sold, 365) OVER w AS yoy_change,
-          AVG(units_sold) OVER ({_K} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7d_mean,
-          AVG(units_sold) OVER ({_K} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rolling_30d_mean,
-          MAX(units_sold) OVER ({_K} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7d_max,
-          MIN(units_sold) OVER ({_K} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7d_min,
+          AVG(units_sold) OVER ({SERIES} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7d_mean,
+          AVG(units_sold) OVER ({SERIES} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rolling_30d_mean,
+          MAX(units_sold) OVER ({SERIES} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7d_max,
+          MIN(units_sold) OVER ({SERIES} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7d_min,
           RANK() OVER (PARTITION BY store_id, sale_date ORDER BY units_sold DESC NULLS FIRST) AS demand_rank,
           CASE WHEN competitor_price > 0
                THEN {near('CAST(unit_price AS DOUBLE) / competitor_price', 4)} ELSE 1.0 END AS price_ratio
-        FROM enriched WINDOW w AS ({_K})""",
+        FROM enriched WINDOW w AS ({SERIES})""",
     "features": f"""
         SELECT *,
           CASE WHEN units_sold < 5 THEN 'Low' WHEN units_sold < 20 THEN 'Medium' WHEN units_sold < 50 THEN 'High'
@@ -119,7 +119,7 @@ def _mode(c: str) -> str:
 
 
 def _rolling(n: int) -> str:
-    frame = f"({_K} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    frame = f"({SERIES} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
     return (
         f"AVG(units_sold) OVER {frame} AS rolling_{n}d_mean, STDDEV_SAMP(units_sold) OVER {frame} AS rolling_{n}d_std, "
         f"MAX(units_sold) OVER {frame} AS rolling_{n}d_max"
@@ -189,7 +189,7 @@ FRAME = {
           COALESCE(units_sold - LAG(units_sold) OVER w, 0) AS demand_velocity,
           SUM(units_sold) OVER (PARTITION BY store_id, product_id, year(sale_date) ORDER BY sale_date
                                 ROWS UNBOUNDED PRECEDING) AS ytd_cumulative
-        FROM daily WINDOW w AS ({_K})""",
+        FROM daily WINDOW w AS ({SERIES})""",
     "volatile": """
         SELECT *, CASE WHEN rolling_7d_mean > 0 THEN
             CASE WHEN rolling_7d_std IS NOT NULL THEN LEAST(rolling_7d_std / rolling_7d_mean, 5) END
@@ -276,5 +276,4 @@ def with_steps(chain: dict[str, str], last: str | None, query: str, **extra: str
         if name == last:
             break
     steps += [f"{name} AS ({sql})" for name, sql in extra.items()]
-    recursive = "RECURSIVE " if any("UNION ALL SELECT" in s and "walk" in n for n, s in extra.items()) else ""
-    return f"WITH {recursive}{', '.join(steps)} {query}" if steps else query
+    return f"WITH {', '.join(steps)} {query}" if steps else query

@@ -33,11 +33,12 @@ def _spark(name: str, kind: str) -> Column:
 
 
 def _sql(name: str, kind: str) -> str:
+    quoted = f'"{name}"'
     text = {
-        "": name, "i": f"CAST({name} AS BIGINT)", "n": f"CAST({name} AS INTEGER)",
-        **{k: f"ROUND(CAST({name} AS DOUBLE), {n}) + 0.0" for k, n in _DIGITS.items()}, "t": f"CAST({name} AS DATE)",
+        "": quoted, "i": f"CAST({quoted} AS BIGINT)", "n": f"CAST({quoted} AS INTEGER)",
+        **{k: f"ROUND(CAST({quoted} AS DOUBLE), {n}) + 0.0" for k, n in _DIGITS.items()}, "t": f"CAST({quoted} AS DATE)",
     }[kind]
-    return f"{text} AS {name}"
+    return f"{text} AS {quoted}"
 
 
 def shaped(df: DataFrame, columns: str) -> DataFrame:

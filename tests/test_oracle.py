@@ -9,7 +9,7 @@ from conftest import DATA
 from shelfline.plans import catalog
 
 WIDE = """
-etl_dedup_latest etl_enriched clean_pipeline clean_quality_report features_dashboard features_encoded
+etl_dedup_latest etl_enriched clean_full clean_quality_report features_dashboard features_encoded
 calendar_lag_features sql_demand_features sql_yoy_calendar mart_daily_store mart_category mart_regional mart_stockout
 mart_promo kpi monthly_revenue_by_year category_summary allocation_summary allocate_first_stores store_anomalies
 reorder_point reorder_point_by_product topk_per_store threshold_counts_many threshold_for_rate percentile_lookup
