@@ -33,6 +33,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")

@@ -21,6 +21,8 @@ def get_session(app_name: str = "shelfline", master: str | None = None, **conf:
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the call site of every column expression costs milliseconds on the driver
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
