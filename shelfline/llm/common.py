@@ -37,6 +37,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: Sequence[str], size: str) -> DataFrame:
+    """Inner join of rows with groups of one row per (non-null) key, whatever share of the rows one key holds.
+
+    ``size`` counts the rows of a key.  Keys with more than a thousandth of all
+    rows are fewer than 1,000, so those groups are sent to the rows; the others
+    meet them by a shuffle in which no key is large.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.broadcast(groups.filter(F.col(size) * 1000 > total))
+    cold = groups.filter(F.col(size) * 1000 <= total)
+    spread = rows.join(F.broadcast(hot.select(*key)), list(key), "left_anti").join(cold, list(key))
+    return rows.join(hot, list(key)).unionByName(spread)
+
+
 def prefix_sums(df: DataFrame, order: Sequence[Column], sums: Mapping[str, str]) -> DataFrame:
     """Adds, for each ``new name: column``, the sum of the column over all rows before this one in ``order``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfline.llm.common import SPACE_CHARS, shuffle_partitions, text_of
+from shelfline.llm.common import SPACE_CHARS, join_groups, shuffle_partitions, text_of
 from shelfline.session import materialize
 
 INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, keep_row BIGINT, n_chars BIGINT, batch STRING"
@@ -62,8 +62,8 @@ def deduplicate(docs: DataFrame, index: str, batch: str, buckets: int | None = N
     _write(fresh, index, buckets)
     spark.catalog.refreshTable(index)
     stay = spark.table(index).select("digest", "keep_id", F.when(F.col("batch") == batch, F.col("keep_row")).alias("keep_row"))
-    sizes = groups.select("digest", "group_size").join(stay, "digest")
-    return rows.join(sizes, "digest").select(
+    sizes = materialize(groups.select("digest", "group_size").join(stay, "digest"))
+    return join_groups(rows, sizes, ["digest"], "group_size").select(
         "doc_id", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
