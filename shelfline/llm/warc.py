@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm.common import shuffle_partitions
+from shelfline.llm.common import join_groups, shuffle_partitions
 from shelfline.session import materialize
 
 # RFC 4648 base32 letters, and the digits that conv() writes in base 32.
@@ -78,9 +78,9 @@ def write_archive(pages: DataFrame, archive: str, min_revisit_bytes: int = 0, da
         base32_of_sha1(F.sha1("payload")).alias("payload_digest"), F.monotonically_increasing_id().alias("row"),
     ))
     same = ["digest", "payload_digest", "payload_bytes"]
-    first = rows.groupBy(*same).agg(F.max(F.struct("page_id", "row")).alias("first"))
+    first = materialize(rows.groupBy(*same).agg(F.max(F.struct("page_id", "row")).alias("first"), F.count("*").alias("copies")))
     small = F.col("payload_bytes") < min_revisit_bytes
-    records = rows.join(first, same).withColumns({
+    records = join_groups(rows, first, same, "copies").withColumns({
         "first_id": F.col("first.page_id"),
         "record_type": F.when(small | (F.col("row") == F.col("first.row")), "response").otherwise("revisit"),
     })
