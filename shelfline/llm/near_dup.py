@@ -9,12 +9,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfline.llm.common import components
+from shelfline.llm.common import components, join_groups
 from shelfline.session import materialize
 
 ROWS = 4  # minima in a band
 BITS = 2  # low bits kept of each minimum
 _SLACK = 6.5  # standard deviations by which an estimate may fall short
+_PAIRED = 64  # members of a hub up to which single pairs are proposed
+_BLOCK_CLASSES, _BLOCK_SHINGLES = 1024, 1 << 20  # of a block of a larger hub
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -143,11 +145,12 @@ def near_duplicates(
        smallest.  A pair must pass the estimate from its packed low-bit minima
        (bit counts, corrected for chance agreement, with room for its error),
        then the exact count on the whole sets.
-    3. Groups are formed.  In buckets whose classes are still in different
-       groups, every class outside the bucket's largest group is compared with
-       the classes of all other groups there, in blocks of bounded size; only pairs that pass the
-       estimate leave the join.  No bucket is capped.
-    4. Pairs that pass the exact count join the links, and groups are formed again.
+    3. Groups are formed.  The buckets of one hub, of all bands, are then looked at together: where
+       their classes are still in different groups, every class outside the
+       largest group is compared with those of all other groups there.  Around
+       hubs with few members that is done pair by pair as in 2; around larger ones by exact
+       intersections of whole sets, block by block, which give only the links that join two groups.  Nothing is capped.
+    4. Groups are formed again from all links.
 
     With the default 32 bands of 4 a pair at 85 % meets in no bucket once in 10^10.
     Rows without words have no set and no link.  Null ids group like others, and a
@@ -166,65 +169,140 @@ def near_duplicates(
     classes = materialize(classes)
     banded = classes.select(F.explode("band_keys").alias("key"), "class")
     buckets = banded.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("members")).filter("members > 1")
-    members = materialize(banded.join(buckets, "key"))
+    members = join_groups(banded, materialize(buckets), ["key"], "members")
     light = classes.select("class", "n", "signature")
 
     def side(name: str) -> DataFrame:
         return light.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"), F.col("signature").alias(f"s_{name}"))
 
-    stars = members.filter("hub <> class").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    stars = materialize(members.filter("hub <> class").select("hub", "class").distinct())
     proposed = materialize(
-        stars.join(side("a"), "a").join(side("b"), "b").filter(_agreements("s_a", "s_b", longs) >= least)
+        stars.select(F.col("hub").alias("a"), F.col("class").alias("b"))
+        .join(side("a"), "a").join(side("b"), "b").filter(_agreements("s_a", "s_b", longs) >= least)
         .filter(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")).select("a", "b", "n_a", "n_b")
     )
     first = confirmed(docs, rows, proposed, words_in_shingle, percent)
     names = components(first)
 
-    open_ = members.join(names.withColumnRenamed("node", "class"), "class", "left").select(
-        "key", "class", F.coalesce("component", "class").alias("component"))
-    mixed = open_.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo <> _hi")
-    open_ = materialize(open_.join(mixed.select("key"), "key", "left_semi"))
-    by_group = open_.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = by_group.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("members"))
-    block = 1024
-    placed = open_.join(largest, "key").join(light, "class").withColumn(
-        "blocks", F.ceil(F.col("members") / block).cast("int"))
-    inner = placed.select(
-        "key", F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int").alias("block"),
-        F.col("class").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("signature").alias("s_b"))
-    outer = placed.filter("component <> main").select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.col("class").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("signature").alias("s_a"))
+    # a hub's buckets of all bands are looked at together
+    around = stars.union(stars.select("hub", F.col("hub").alias("class")).distinct())
+    around = around.join(names.withColumnRenamed("node", "class"), "class", "left").join(light, "class").select(
+        "hub", "class", F.coalesce("component", "class").alias("component"), "n", "signature")
+    sizes = around.groupBy("hub", "component").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
+    sizes = sizes.groupBy("hub").agg(
+        F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("groups"),
+        F.sum("k").alias("members"), F.sum("total").alias("total"))
+    sizes = materialize(sizes.filter("groups > 1"))
+    blocks = F.ceil(F.greatest(F.col("members") / _BLOCK_CLASSES, F.col("total") / _BLOCK_SHINGLES)).cast("int")
+    open_ = materialize(join_groups(around, sizes, ["hub"], "members").withColumn("blocks", blocks))
+    small = open_.filter(F.col("members") <= _PAIRED)
     close = (F.col("c_a") != F.col("c_b")) & (_agreements("s_a", "s_b", longs) >= least) & F.expr(
         f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    rest = outer.join(inner, ["key", "block"]).filter(close).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-        F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-        F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
-    second = confirmed(docs, rows, materialize(rest), words_in_shingle, percent)
-    names = components(first.union(second))
-
-    groups = full.join(names.withColumnRenamed("node", "class"), "class", "left").select(
-        "class", "doc_id", F.coalesce("component", "class").alias("component"))
-    least_id = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = groups.select("class", "component").distinct().join(least_id, "component").select("class", "component_id")
-    out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class")).alias("class"))
-    out = out.join(named, "class", "left").withColumn(
-        "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
-
-
-def confirmed(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words_in_shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough, written down.
-
-    Sets are built again from the text of one document of each class that a pair names.
+    named = {"class": "a", "component": "c_a", "n": "n_a", "signature": "s_a"}
+    rest = small.filter("component <> main").select("hub", *[F.col(c).alias(x) for c, x in named.items()])
+    every = small.select("hub", *[F.col(c).alias(x.replace("a", "b")) for c, x in named.items()])
+    pairs = rest.join(every, "hub").filter(close).select("a", "b", "n_a", "n_b")
+    second = confirmed(docs, rows, materialize(pairs.distinct()), words_in_shingle, percent)
+    third = _large_groups(docs, rows, open_.filter(F.col("members") > _PAIRED), words_in_shingle, percent)
+    names = components(first.union(second).union(third))
+
+    sizes = full.groupBy("class").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"))
+    groups = sizes.join(names.withColumnRenamed("node", "class"), "class", "left").select(
+        "class", "copies", "least", F.coalesce("component", "class").alias("component"))
+    groups = materialize(groups)
+    by_component = groups.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("classes"))
+    named = join_groups(groups, materialize(by_component), ["component"], "classes").select("class", "copies", "component_id")
+    found = join_groups(full, materialize(named), ["class"], "copies").select("doc_id", "n_shingles", "component_id")
+    alone = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return found.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _large_groups(docs: DataFrame, rows: DataFrame, members: DataFrame, words_in_shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between the components around hubs with many members, written down.
+
+    Classes outside a hub's largest component are compared with all others there, whole
+    sets in blocks of bounded size.  A block gives only links that join two
+    components, fewer than it has rows.
     """
-    needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    sets = _class_sets(docs, rows, members.select("class").distinct(), words_in_shingle)
+    full = members.select("hub", "class", "component", "main", "blocks").join(sets, "class")
+    own = F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int")
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    columns = ["hub", "i", "j", "is_rest", "class", "component", "shingles"]
+    rest = full.filter("component <> main").select(
+        "hub", own.alias("i"), F.explode(others).alias("j"), F.lit(True).alias("is_rest"), "class", "component", "shingles")
+    every = full.select(
+        "hub", F.explode(others).alias("i"), own.alias("j"), F.lit(False).alias("is_rest"), "class", "component", "shingles")
+
+    def compare(table: pa.Table) -> pa.Table:
+        is_rest = np.asarray(table["is_rest"])
+        left, right = np.flatnonzero(is_rest), np.flatnonzero(~is_rest)
+        classes, labels = (np.asarray(table[c]) for c in ("class", "component"))
+        found = _links(table["shingles"].combine_chunks(), left, right, labels, percent)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        a, b = [], []
+        for x, y in found:
+            p, q = root(int(labels[x])), root(int(labels[y]))
+            if p != q:
+                parent[p] = q
+                a.append(int(classes[x]))
+                b.append(int(classes[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return materialize(
+        rest.union(every).select(*columns).groupBy("hub", "i", "j").applyInArrow(compare, "a long, b long"))
+
+
+def _links(sets: pa.ListArray, left: np.ndarray, right: np.ndarray, labels: np.ndarray, percent: int) -> np.ndarray:
+    """Index pairs of different components that are similar enough, from the exact sizes of all intersections."""
+    if not len(left) or not len(right):
+        return np.zeros((0, 2), np.int64)
+    sizes = np.diff(np.asarray(sets.offsets))
+    _, column, times = np.unique(np.asarray(sets.flatten()), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    shared = times[column] > 1
+    row, column = row[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    _, column = np.unique(column, return_inverse=True)
+    place = np.zeros(len(sizes), np.int64)
+    place[left], place[right] = np.arange(len(left)), np.arange(len(right))
+    in_left = np.zeros(len(sizes), bool)
+    in_left[left] = True
+    both = np.zeros((len(left), len(right)), np.float32)
+    width = 4096
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [start, start + width]))
+        r, c, is_left = row[part], column[part] - start, in_left[row[part]]
+        x, y = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+        x[place[r[is_left]], c[is_left]] = 1
+        y[place[r[~is_left]], c[~is_left]] = 1
+        both += x @ y.T
+    union = sizes[left][:, None] + sizes[right][None, :] - both
+    hit = (100 * both >= percent * union) & (labels[left][:, None] != labels[right][None, :])
+    at = np.argwhere(hit)
+    return np.stack([left[at[:, 0]], right[at[:, 1]]], axis=1)
+
+
+def _class_sets(docs: DataFrame, rows: DataFrame, needed: DataFrame, words_in_shingle: int) -> DataFrame:
+    """(class, shingles) of the needed classes, built again from the text of one document each and written down."""
     chosen = rows.join(needed, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     ids = chosen.select(F.col("doc_id").alias("_id")).distinct()
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     # an id may name several texts, so the class comes from the set again
-    sets = materialize(_sets(texts, words_in_shingle).join(needed, "class", "left_semi").dropDuplicates(["class"]))
+    return materialize(_sets(texts, words_in_shingle).join(needed, "class", "left_semi").dropDuplicates(["class"]))
+
+
+def confirmed(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words_in_shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough, written down."""
+    needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    sets = _class_sets(docs, rows, needed, words_in_shingle)
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))

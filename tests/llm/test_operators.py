@@ -365,3 +365,15 @@ def test_quality_odd_rows(spark, clashing, odd):
     none = spark.createDataFrame([(1, None), (None, 1), (2, 1)], "doc_id long, quality int")
     assert quality.train(odd, none) is None
     assert quality.score(odd.limit(0), None).collect() == []
+
+
+def test_large_hubs_against_all_pairs(make, monkeypatch):
+    monkeypatch.setattr(near_dup, "_PAIRED", 4)
+    monkeypatch.setattr(near_dup, "_BLOCK_CLASSES", 16)
+    rng = random.Random(11)
+    words = [f"v{i}" for i in range(90)]
+    rows = [_edited(rng, words, rng.randint(0, 12)) for _ in range(120)]
+    rows += [" ".join([f"x{rng.randrange(10**6)}" for _ in range(30)] + words[:40]) for _ in range(60)]
+    rows = list(enumerate(rows * 2))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(make(rows)).collect()}
+    assert got == brute.near_groups(rows, 3, 85)
