@@ -165,7 +165,7 @@ def near_duplicates(
     rows = materialize(signatures(docs, words_in_shingle, bands))
     full = rows.filter("n_shingles > 0")
     classes = full.groupBy("class").agg(
-        F.first("n_shingles").alias("n"), F.first("band_keys").alias("band_keys"), F.first("signature").alias("signature"))
+        F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("band_keys").alias("band_keys"), F.first("signature").alias("signature"))
     classes = materialize(classes)
     banded = classes.select(F.explode("band_keys").alias("key"), "class")
     buckets = banded.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("members")).filter("members > 1")
@@ -181,7 +181,7 @@ def near_duplicates(
         .join(side("a"), "a").join(side("b"), "b").filter(_agreements("s_a", "s_b", longs) >= least)
         .filter(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")).select("a", "b", "n_a", "n_b")
     )
-    first = confirmed(docs, rows, proposed, words_in_shingle, percent)
+    first = confirmed(docs, classes, proposed, words_in_shingle, percent)
     names = components(first)
 
     # a hub's buckets of all bands are looked at together
@@ -202,12 +202,11 @@ def near_duplicates(
     rest = small.filter("component <> main").select("hub", *[F.col(c).alias(x) for c, x in named.items()])
     every = small.select("hub", *[F.col(c).alias(x.replace("a", "b")) for c, x in named.items()])
     pairs = rest.join(every, "hub").filter(close).select("a", "b", "n_a", "n_b")
-    second = confirmed(docs, rows, materialize(pairs.distinct()), words_in_shingle, percent)
-    third = _large_groups(docs, rows, open_.filter(F.col("members") > _PAIRED), words_in_shingle, percent)
+    second = confirmed(docs, classes, materialize(pairs.distinct()), words_in_shingle, percent)
+    third = _large_groups(docs, classes, open_.filter(F.col("members") > _PAIRED), words_in_shingle, percent)
     names = components(first.union(second).union(third))
 
-    sizes = full.groupBy("class").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"))
-    groups = sizes.join(names.withColumnRenamed("node", "class"), "class", "left").select(
+    groups = classes.join(names.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "copies", "least", F.coalesce("component", "class").alias("component"))
     groups = materialize(groups)
     by_component = groups.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("classes"))
@@ -217,14 +216,14 @@ def near_duplicates(
     return found.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _large_groups(docs: DataFrame, rows: DataFrame, members: DataFrame, words_in_shingle: int, percent: int) -> DataFrame:
+def _large_groups(docs: DataFrame, classes: DataFrame, members: DataFrame, words_in_shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between the components around hubs with many members, written down.
 
     Classes outside a hub's largest component are compared with all others there, whole
     sets in blocks of bounded size.  A block gives only links that join two
     components, fewer than it has rows.
     """
-    sets = _class_sets(docs, rows, members.select("class").distinct(), words_in_shingle)
+    sets = _class_sets(docs, classes, members.select("class").distinct(), words_in_shingle)
     full = members.select("hub", "class", "component", "main", "blocks").join(sets, "class")
     own = F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -290,19 +289,18 @@ def _links(sets: pa.ListArray, left: np.ndarray, right: np.ndarray, labels: np.n
     return np.stack([left[at[:, 0]], right[at[:, 1]]], axis=1)
 
 
-def _class_sets(docs: DataFrame, rows: DataFrame, needed: DataFrame, words_in_shingle: int) -> DataFrame:
+def _class_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, words_in_shingle: int) -> DataFrame:
     """(class, shingles) of the needed classes, built again from the text of one document each and written down."""
-    chosen = rows.join(needed, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    ids = chosen.select(F.col("doc_id").alias("_id")).distinct()
+    ids = classes.join(needed, "class", "left_semi").select(F.col("least").alias("_id")).distinct()
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     # an id may name several texts, so the class comes from the set again
     return materialize(_sets(texts, words_in_shingle).join(needed, "class", "left_semi").dropDuplicates(["class"]))
 
 
-def confirmed(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words_in_shingle: int, percent: int) -> DataFrame:
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words_in_shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough, written down."""
     needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    sets = _class_sets(docs, rows, needed, words_in_shingle)
+    sets = _class_sets(docs, classes, needed, words_in_shingle)
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
