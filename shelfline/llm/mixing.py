@@ -29,15 +29,16 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), max_rep
         places, [F.col("_most") / F.col("_weight"), F.col("_place")], {"_held": "_most", "_held_weight": "_weight"}
     )
     by_bound = materialize(by_bound)
-    whole = by_bound.agg(F.sum("source_size").alias("_all"), F.sum("_weight").alias("_all_weight"))
-    rows = by_bound.crossJoin(F.broadcast(whole))  # one row
-    level = (F.col("_all") - F.col("_held")) / (F.col("_all_weight") - F.col("_held_weight"))
-    rows = materialize(rows.withColumns({"_level": level, "_full": F.col("_most") <= level * F.col("_weight")}))
+    # two sums and one level are all that the driver sees
+    whole = by_bound.agg(F.sum("source_size"), F.sum("_weight")).first()
+    words, weight = whole[0] or 0, whole[1] or 0
+    level = (F.lit(words) - F.col("_held")) / (F.lit(weight) - F.col("_held_weight"))
+    rows = by_bound.withColumns({"_level": level, "_full": F.col("_most") <= level * F.col("_weight")})
     # the first source that is not held sees exactly the held ones before it
-    common = rows.filter("NOT _full").agg(F.min_by("_level", "_held_weight").alias("_share"))
-    return rows.crossJoin(F.broadcast(common)).select(  # one row
+    share = rows.filter("NOT _full").agg(F.min_by("_level", "_held_weight")).first()[0]
+    return rows.select(
         "source", "source_size",
-        F.when(F.col("_full"), F.col("_most").cast("double")).otherwise(F.col("_share") * F.col("_weight")).alias("target"),
+        F.when(F.col("_full"), F.col("_most").cast("double")).otherwise(F.lit(share).cast("double") * F.col("_weight")).alias("target"),
     )
 
 
