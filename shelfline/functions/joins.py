@@ -1,7 +1,10 @@
-"""Joins that depend on a measured size."""
+"""Joins that depend on a measured size, and joins in which NULL keys meet."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # Largest side that is sent to every executor.
@@ -26,3 +29,11 @@ def small_side(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
     the other side; the measurement is one small job.
     """
     return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL, as grouping has it; the keys come from the left side."""
+    names = {c: f"_right_{c}" for c in keys}
+    other = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(names[c])) for c in keys])
+    return left.join(other, same, how).drop(*names.values())

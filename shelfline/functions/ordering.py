@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
+from shelfline.functions.joins import null_safe_join
 from shelfline.session import materialize
 
 # Buckets per unit of log1p(|value|).  Values up to 10 million need at most 265 thousand
@@ -80,15 +81,15 @@ def order_statistics(df: DataFrame, picks: Mapping[str, Mapping[str, str]], by:
 
     key = [*group, "bucket"]
     if by:
-        counted = values.join(located.select(*key), key, "left_semi").groupBy(*key, "value").agg(F.count("*").alias("n"))
+        counted = null_safe_join(values, located.select(*key), key, "left_semi").groupBy(*key, "value").agg(F.count("*").alias("n"))
         picked = located.selectExpr(*key, "before", "total", "inline(wanted)")
     else:
         rows = located.collect()  # at most one per pick
         counted = _values_in_buckets(df, {c: [r["bucket"] for r in rows if r["column"] == c] for c in columns})
         picked = F.broadcast(_picked_table(df.sparkSession, rows))
+    counted = counted.withColumn("upto", F.expr(f"sum(n) OVER (PARTITION BY {', '.join(key)} ORDER BY value)"))
     return (
-        counted.withColumn("upto", F.expr(f"sum(n) OVER (PARTITION BY {', '.join(key)} ORDER BY value)"))
-        .join(picked, key)
+        (null_safe_join(counted, picked, key) if by else counted.join(picked, key))
         .filter("idx < before + upto AND idx >= before + upto - n")
         .select(*group, "label", "value", "total")
     )
@@ -228,7 +229,7 @@ def running_total(
         Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = sums.select(*piece, F.coalesce(before, F.lit(0)).alias("_start"))
-    return rows.join(starts, piece).withColumn(name, F.col("_start") + F.col("_in_piece")).select(*df.columns, name)
+    return null_safe_join(rows, starts, piece).withColumn(name, F.col("_start") + F.col("_in_piece")).select(*df.columns, name)
 
 
 def counts_upto(
@@ -262,5 +263,5 @@ def counts_upto(
     totals = values.groupBy(*by).agg(F.sum("_n").alias("total"))
     found = summed.filter("_probe = 1").select(*by, F.col("_point").alias(probe), "count_upto")
     if by:
-        return found.join(totals, by, "left").fillna(0, ["total"])
+        return null_safe_join(found, totals, by, "left").fillna(0, ["total"])
     return found.withColumn("total", F.coalesce(totals.scalar(), F.lit(0)))

@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from shelfline.functions.joins import null_safe_join
 from shelfline.functions.ordering import running_total
 from shelfline.session import materialize
 
@@ -79,12 +80,11 @@ def bundle_pairs(
         return F.max(F.when(F.col("kind") == kind, F.col("count")))
 
     sizes = products.groupBy(*group).agg(F.count("*").alias("n"))
+    places = counted.groupBy(*group, "item", "value").agg(
+        (count_at(_ITEM) - 1).alias("pos"), count_at(_BELOW).alias("below"), count_at(_UPTO).alias("upto"),
+    )
     placed = (
-        counted.groupBy(*group, "item", "value")
-        .agg(
-            (count_at(_ITEM) - 1).alias("pos"), count_at(_BELOW).alias("below"), count_at(_UPTO).alias("upto"),
-        )
-        .join(sizes, group)
+        null_safe_join(places, sizes, group)
         .select(
             *group, "item", "value", "pos", "n",
             (F.col("n") - F.col("upto") - F.col("pos")).alias("low"),
@@ -126,14 +126,14 @@ def bundle_pairs(
     bounds = placed.groupBy(*group, "block").applyInPandas(condense_block, f"{keys}, block long, low long, high long")
     entries = bounds.groupBy(*group).applyInPandas(chain_blocks, f"{keys}, block long, entry long")
     lefts = (
-        placed.join(entries, [*group, "block"])
+        null_safe_join(placed, entries, [*group, "block"])
         .groupBy(*group, "block")
         .applyInPandas(pair_block, f"{keys}, item {key_types['item']}, value decimal(18,6), right_pos long")
     )
     rights = placed.select(
         *group, F.col("pos").alias("right_pos"), F.col("item").alias("right_product"), F.col("value").alias("right_value")
     )
-    return lefts.join(rights, [*group, "right_pos"]).select(
+    return null_safe_join(lefts, rights, [*group, "right_pos"]).select(
         *by,
         F.col("item").alias("left_product"),
         "right_product",

@@ -31,6 +31,13 @@ def region_share(features: DataFrame) -> DataFrame:
     return _share(features.groupBy("region").agg(F.sum("units_sold").alias("total_units")), "total_units", "share_pct")
 
 
+def monthly_revenue(features: DataFrame) -> DataFrame:
+    """Revenue of every month and year that occurs."""
+    return features.groupBy(F.month("sale_date").alias("month"), F.year("sale_date").alias("year")).agg(
+        F.sum("revenue").alias("revenue")
+    )
+
+
 def monthly_revenue_by_year(features: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """One row per month and one revenue column ``y<year>`` per year.
 

@@ -2,7 +2,7 @@
 
 Lags and windows count rows of a series, not days.  All series functions share
 one partitioning and one order, so a chain of them costs one shuffle and one
-sort.  After ``aggregate_daily`` a series has at most one row per calendar day,
+sort, and the windows within a year one more sort.  After ``aggregate_daily`` a series has at most one row per calendar day,
 which bounds a window partition whatever the number of sales behind it.
 """
 
@@ -24,8 +24,8 @@ WARMUP_DAYS = 30
 
 
 def series_window() -> WindowSpec:
-    """Rows of a series by date.  Ordering by year first lets per-year windows reuse the sort."""
-    return Window.partitionBy(*SERIES).orderBy(F.year("sale_date"), "sale_date")
+    """Rows of a series by date: one sort for all functions that use it."""
+    return Window.partitionBy(*SERIES).orderBy("sale_date")
 
 
 def aggregate_daily(df: DataFrame) -> DataFrame:

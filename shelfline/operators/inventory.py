@@ -7,25 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.functions.columns import round_half_even
+from shelfline.functions.joins import null_safe_join
 from shelfline.functions.ordering import counts_upto, order_statistics, running_total, with_position
 from shelfline.session import materialize
 
-# Fixed value: most units that one allocation distributes.
-UNIT_CAP = 10_000
 # Worth of a unit below which it counts as nothing.
 _EPSILON = 1e-9
 
 
 # Allocation
 
-def allocate(requests: DataFrame, unit_cap: int | None = UNIT_CAP, group_limit: int = 1_000_000) -> DataFrame:
+def allocate(requests: DataFrame, unit_cap: int | None = None, group_limit: int = 1_000_000) -> DataFrame:
     """Units per store that fulfil the most demand of each group.
 
     A unit is worth 1 up to the whole part of a store's demand, then the
     fractional part once, then nothing up to the capacity.  Worth never rises
     along a store, so handing out units by falling worth is optimal; ties go to
     the store with the highest index.  That takes at most three rows per store
-    and a running total, also for a group of any size.
+    and a running total, also for a group of any size.  ``unit_cap`` limits what one group hands out.
     """
     total = F.col("total_inventory")
     available = total if unit_cap is None else F.least(total, F.lit(unit_cap))
@@ -68,8 +67,8 @@ def allocation_summary(allocated: DataFrame) -> DataFrame:
     )
 
 
-def store_requests(features: DataFrame, n_stores: int | None = 10, total_inventory: int = 5000) -> DataFrame:
-    """One allocation group: mean demand of the first stores by id, capacity twice the mean."""
+def store_requests(features: DataFrame, n_stores: int | None = None, total_inventory: int = 5000) -> DataFrame:
+    """One allocation group: mean demand of every store (or the first ``n_stores`` by id), capacity twice the mean."""
     means = features.filter("store_id IS NOT NULL").groupBy("store_id").agg(F.avg("units_sold").alias("demand"))
     if n_stores is None:
         means = with_position(means, [F.col("store_id")], name="store_idx")
@@ -150,7 +149,7 @@ def reorder_point(
     picked = order_statistics(df, {column: {"level": level}}, by)
     means = df.filter(F.col(column).isNotNull()).groupBy(*by).agg(F.avg(column).alias("_mean"))
     if by:
-        rows = means.join(picked.select(*by, F.col("value").alias("_level")), list(by))
+        rows = null_safe_join(means, picked.select(*by, F.col("value").alias("_level")), list(by))
     else:
         rows = means.withColumn("_level", picked.select("value").scalar())
     mean, at_level = F.coalesce("_mean", F.lit(0.0)), F.coalesce("_level", F.lit(0.0))
@@ -202,13 +201,17 @@ def _picked(df: DataFrame, column: str, rules: dict[float, str], name: str, by:
 def threshold_for_rate(
     df: DataFrame, rates: Sequence[float], column: str = "units_sold", by: Sequence[str] = ()
 ) -> DataFrame:
-    """The value below which about ``rate`` of the rows lie; the extremes outside (0, 1)."""
+    """The value below which about ``rate`` of the rows lie; the extremes outside (0, 1), and 0 without rows."""
     def rule(rate: float) -> str:
         if rate <= 0:
             return "0"
         return "n - 1" if rate >= 1 else f"least(floor({rate}D * n), n - 1)"
 
-    return _picked(df, column, {float(r): rule(float(r)) for r in rates}, "rate", by)
+    found = _picked(df, column, {float(r): rule(float(r)) for r in rates}, "rate", by)
+    if by:
+        return found
+    asked = df.sparkSession.createDataFrame([(float(r),) for r in rates], "rate double").distinct()
+    return asked.join(found, "rate", "left").fillna(0.0, ["value"])
 
 
 def percentile_lookup(

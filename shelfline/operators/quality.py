@@ -123,16 +123,17 @@ def response_rules() -> dict[str, Column]:
     }
 
 
-# Limits of an allocation request.
-MAX_GROUP_STORES = 100
+# Fixed value: limit of an allocation request.
 MAX_TOTAL_INVENTORY = 1_000_000
 
 
-def allocation_violations(df: DataFrame, max_stores: int | None = MAX_GROUP_STORES) -> DataFrame:
+def allocation_violations(
+    df: DataFrame, max_stores: int | None = None, max_total: int = MAX_TOTAL_INVENTORY
+) -> DataFrame:
     """Group rules of allocation requests: (group_id, stores, violations).
 
-    One row per store makes demands and capacities equally long.  ``max_stores=None``
-    lifts the size limit.
+    One row per store makes demands and capacities equally long.  Groups have any
+    size unless ``max_stores`` is given.
     """
     groups = df.groupBy("group_id").agg(
         F.count("*").alias("stores"),
@@ -142,7 +143,7 @@ def allocation_violations(df: DataFrame, max_stores: int | None = MAX_GROUP_STOR
         F.count_if(F.col("capacity").isNull() | (F.col("capacity") < 0)).alias("bad_capacity"),
     )
     rules = {
-        "total_inventory": (F.col("low") > 0) & (F.col("high") <= MAX_TOTAL_INVENTORY) & (F.col("low") == F.col("high")),
+        "total_inventory": (F.col("low") > 0) & (F.col("high") <= max_total) & (F.col("low") == F.col("high")),
         "demand": F.col("bad_demand") == 0,
         "capacity": F.col("bad_capacity") == 0,
     }
@@ -151,6 +152,6 @@ def allocation_violations(df: DataFrame, max_stores: int | None = MAX_GROUP_STOR
     return with_violations(groups, rules).select("group_id", "stores", "violations")
 
 
-def validate_allocation(df: DataFrame, max_stores: int | None = MAX_GROUP_STORES) -> tuple[DataFrame, DataFrame]:
+def validate_allocation(df: DataFrame, max_stores: int | None = None) -> tuple[DataFrame, DataFrame]:
     marked = df.join(allocation_violations(df, max_stores).drop("stores"), "group_id")
     return marked.filter(F.size("violations") == 0).drop("violations"), marked.filter(F.size("violations") > 0)

@@ -96,8 +96,13 @@ def drop_warmup(df: DataFrame, days: int = WARMUP_DAYS, start: DataFrame | None
     return df.filter(F.col("sale_date") >= F.date_add(first, days))
 
 
-def demand_features(enriched: DataFrame) -> DataFrame:
-    """All warehouse-track features; needs one row per day, store and product."""
+def demand_features(enriched: DataFrame, ranked: bool = True) -> DataFrame:
+    """All warehouse-track features; needs one row per day, store and product.
+
+    The rank takes an aggregation and a join of the whole table, which stay in a
+    plan that does not read it; ``ranked=False`` leaves it out.
+    """
     df = enriched.select(*BASE_COLUMNS)
     # ranked first, while the rows to shuffle are narrow
-    return drop_warmup(bands(price_ratio(rolling(lags(demand_rank(df))))), start=enriched)
+    df = demand_rank(df) if ranked else df
+    return drop_warmup(bands(price_ratio(rolling(lags(df)))), start=enriched)

@@ -54,7 +54,8 @@ def _enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.demand_features(_enriched(spark, folder))
+    """The features without the rank, which only its own entries read."""
+    return warehouse.demand_features(_enriched(spark, folder), ranked=False)
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,7 +344,7 @@ def _(spark, folder):
     _warehouse("features"),
 )
 def _(spark, folder):
-    return _features(spark, folder)
+    return warehouse.demand_features(_enriched(spark, folder))
 
 
 # Marts
@@ -431,15 +432,10 @@ def _(spark, folder):
     return dashboard.region_share(_features(spark, folder))
 
 
-_YEARS = range(1995, 2002)
-
-
-@register("monthly_revenue_by_year", "month:n " + " ".join(f"y{y}:d" for y in _YEARS), _warehouse(
-    "features", "SELECT month(sale_date) AS month, " + ", ".join(
-        f"SUM(CASE WHEN year(sale_date) = {y} THEN revenue END) AS y{y}" for y in _YEARS
-    ) + " FROM features GROUP BY 1"))
+@register("monthly_revenue_by_year", "month:n year:n revenue:d", _warehouse(
+    "features", "SELECT month(sale_date) AS month, year(sale_date) AS year, SUM(revenue) AS revenue FROM features GROUP BY 1, 2"))
 def _(spark, folder):
-    return dashboard.monthly_revenue_by_year(_features(spark, folder), list(_YEARS))
+    return dashboard.monthly_revenue(_features(spark, folder))
 
 
 @register("band_distribution", "demand_band records:i share_pct:d", _warehouse("features", """
@@ -496,7 +492,7 @@ def _(spark, folder):
 # Inventory
 
 _TIERS = """
-    SELECT *, LEAST(total_inventory, 10000) AS available, LEAST(capacity, LEAST(total_inventory, 10000)) AS cap,
+    SELECT *, total_inventory AS available, LEAST(capacity, total_inventory) AS cap,
            CAST(FLOOR(demand) AS BIGINT) AS whole, demand - FLOOR(demand) AS part FROM requests"""
 _UNITS = """
     SELECT group_id, store_idx, available, CAST(1 AS DOUBLE) AS worth, LEAST(whole, cap) AS units FROM tiers
@@ -513,8 +509,8 @@ _PRODUCT_REQUESTS = """
     FROM (SELECT product_id, store_id, AVG(units_sold) AS demand FROM features GROUP BY 1, 2)"""
 _ALL_REQUESTS = """
     SELECT 'all' AS group_id, row_number() OVER (ORDER BY store_id) - 1 AS store_idx, demand,
-           CAST(FLOOR(demand * 2) AS BIGINT) AS capacity, 5000 AS total_inventory
-    FROM (SELECT store_id, AVG(units_sold) AS demand FROM features GROUP BY 1 ORDER BY 1 LIMIT 10)"""
+           CAST(FLOOR(demand * 2) AS BIGINT) AS capacity, 12000 AS total_inventory
+    FROM (SELECT store_id, AVG(units_sold) AS demand FROM features GROUP BY 1)"""
 _STEPS = {"tiers": _TIERS, "units": _UNITS, "taken": _TAKEN}
 _ALLOCATED = "SELECT r.*, t.allocation FROM requests r JOIN taken t USING (group_id, store_idx)"
 _SUMMARY = """
@@ -536,9 +532,9 @@ def _(spark, folder):
     return inventory.allocation_summary(inventory.allocate(inventory.product_requests(_features(spark, folder))))
 
 
-@register("allocate_first_stores", _ALLOCATION, _warehouse("features", _ALLOCATED, requests=_ALL_REQUESTS, **_STEPS))
+@register("allocate_all_stores", _ALLOCATION, _warehouse("features", _ALLOCATED, requests=_ALL_REQUESTS, **_STEPS))
 def _(spark, folder):
-    return inventory.allocate(inventory.store_requests(_features(spark, folder)))
+    return inventory.allocate(inventory.store_requests(_features(spark, folder), total_inventory=12_000))
 
 
 _RATES = {
@@ -692,7 +688,7 @@ def _(spark, folder):
 
 
 @register("range_demand", "store_id left:i right:i total_demand:d", _warehouse("features", """
-    SELECT q.store_id, q."left", q."right", SUM(d.demand) AS total_demand FROM queries q JOIN numbered d
+    SELECT q.store_id, q."left", q."right", SUM(d.demand) AS total_demand FROM queries q LEFT JOIN numbered d
         ON d.store_id = q.store_id AND d.i BETWEEN q."left" AND q."right" GROUP BY 1, 2, 3""",
     numbered=f"SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY sale_date) - 1 AS i FROM ({_STORE_DAYS})",
     queries="""SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS store_id, s_suppkey % 30 - 3 AS "left",
@@ -705,7 +701,7 @@ def _(spark, folder):
         F.concat(F.lit("S"), key.cast("string")).alias("store_id"),
         (key % 30 - 3).alias("left"), (key % 30 + key % 1000).alias("right"),
     )
-    return inventory.range_demand(prefix, asked, by).filter("total_demand IS NOT NULL")
+    return inventory.range_demand(prefix, asked, by)
 
 
 _PARTS = f"""

@@ -41,7 +41,8 @@ def scratch_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not sc.master.startswith("local"):
+            # executors of local-cluster are processes of their own
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="shelfline-")
         sc.setCheckpointDir(configured)

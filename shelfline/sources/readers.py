@@ -26,15 +26,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV by header name: known columns get their type, unknown ones stay text.
 
-    Only the header line is looked at before the job runs.
+    Only one header line is looked at before the job runs.  A file whose header
+    differs, in names or order, is an error when it is read.
     """
     header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
     known = {f.name: f.dataType for f in schema}
     names = [normalized_name(c) for c in header]
-    typed = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in names])
-    return nan_to_null(
-        spark.read.schema(typed).option("header", True).option("enforceSchema", True).option("nanValue", "NaN").csv(path)
-    )
+    typed = T.StructType([T.StructField(raw, known.get(c, T.StringType())) for raw, c in zip(header, names)])
+    rows = spark.read.schema(typed).option("header", True).option("enforceSchema", False).option("nanValue", "NaN").csv(path)
+    return nan_to_null(rows.toDF(*names))
 
 
 def read_sales(spark: SparkSession, path: str | None = None, candidates: Iterable[str] = SALES_PATHS) -> DataFrame:

@@ -106,15 +106,15 @@ TABLES = {
     "region": "r_regionkey int, r_name string",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
 }
+MAX_SPREAD_SPLITS = 2  # a split is 128 MB at most by default
 _ROW_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A source table.  A large one that arrives in fewer splits than there are cores is spread over them;
-    one with more splits, as on a cluster, is read as it is."""
+    """A source table.  A large one that is a single small file is spread over the cores; any other is read as it is."""
     df = spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in _ROW_KEY and df.rdd.getNumPartitions() < cores:
+    if name in _ROW_KEY and df.rdd.getNumPartitions() <= MAX_SPREAD_SPLITS < cores:
         df = df.repartition(cores, _ROW_KEY[name])
     return df
 

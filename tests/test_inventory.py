@@ -23,7 +23,6 @@ def requests(spark, cases):
 
 def best_allocation(demands, capacities, total):
     """All allocations tried; the last store takes the most units that are still optimal, then the one before it."""
-    total = min(total, inventory.UNIT_CAP)
     best = max(
         itertools.product(*[range(c + 1) for c in capacities]),
         key=lambda k: (
@@ -71,8 +70,8 @@ def test_allocation_summary(spark):
 
 def test_unit_cap(spark):
     case = [([30_000.0], [30_000], 30_000)]
-    assert inventory.allocate(requests(spark, case)).first()["allocation"] == 10_000
-    assert inventory.allocate(requests(spark, case), unit_cap=None).first()["allocation"] == 30_000
+    assert inventory.allocate(requests(spark, case), unit_cap=10_000).first()["allocation"] == 10_000
+    assert inventory.allocate(requests(spark, case)).first()["allocation"] == 30_000
 
 
 def daily(spark, demands):
