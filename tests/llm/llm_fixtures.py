@@ -1,10 +1,7 @@
-import os
-import sys
+"""Small documents for the tests of the operators."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 SF = "/root/testdata/sf0.001"
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"

@@ -7,7 +7,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import brute
-from conftest import DOCS, ODD, SF
+from llm_fixtures import ODD, SF, clashing, make, odd  # noqa: F401  (fixtures)
 from shelfline.llm import byte_bpe, exact_dedup, mixing, near_dup, quality, queries, secrets, suffix_dedup, token_counts, warc, wrappers
 from shelfline.llm.common import components, table
 

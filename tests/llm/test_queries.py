@@ -2,6 +2,7 @@ import pytest
 
 import corpus_pipeline
 from harness import compare, connect
+from llm_fixtures import make, odd  # noqa: F401  (fixtures)
 from shelfline.llm import queries
 from shelfline.llm.common import DOCUMENT_COLUMNS, table
 
