@@ -38,7 +38,9 @@ def _text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def order_statistics(df: DataFrame, picks: Mapping[str, Mapping[str, str]], by: Sequence[str] = ()) -> DataFrame:
+def order_statistics(
+    df: DataFrame, picks: Mapping[str, Mapping[str, str]], by: Sequence[str] = (), group_limit: int = 1_000_000
+) -> DataFrame:
     """Exact values at given positions of sorted columns.
 
     ``picks`` maps a column to labelled rules; a rule is SQL that turns the
@@ -47,11 +49,16 @@ def order_statistics(df: DataFrame, picks: Mapping[str, Mapping[str, str]], by:
 
     First pass: counts per value bucket (combined before the shuffle, so at most
     the bucket bound leaves each task) give the bucket that holds each position.
-    Second pass: only values in those buckets are counted and searched.  Without
-    ``by`` the first pass runs when this is called.
+    Second pass: only values in those buckets are counted and searched.  A bucket
+    with more than ``group_limit`` rows, such as one that values packed closely
+    share, is searched along a range sort of its distinct values instead of in
+    one task.  The first pass runs when this is called; with ``by`` it writes
+    down the columns it needs, so that the input is read once.
     """
     by = list(by)
     columns = list(picks)
+    if by:
+        df = materialize(df.selectExpr(*by, *[f"{_number(c)} AS {c}" for c in columns]))
     values = (
         df.selectExpr(*by, *[f"{_number(c)} AS {c}" for c in columns])
         .unpivot(by, columns, "column", "value")
@@ -70,10 +77,10 @@ def order_statistics(df: DataFrame, picks: Mapping[str, Mapping[str, str]], by:
         values.groupBy(*group, "bucket").agg(F.count("*").alias("_count"))
         .selectExpr(
             *group, "bucket", f"sum(_count) {in_group}) AS n", f"sum(_count) {in_group} ORDER BY bucket) AS upto",
-            f"sum(_count) {in_group} ORDER BY bucket) - _count AS before",
+            f"sum(_count) {in_group} ORDER BY bucket) - _count AS before", "_count",
         )
         .selectExpr(
-            *group, "bucket", "before", "n AS total",
+            *group, "bucket", "before", "n AS total", "_count",
             f"filter(CASE column {cases} END, t -> t.idx >= before AND t.idx < upto) AS wanted",
         )
         .filter("size(wanted) > 0")
@@ -81,13 +88,19 @@ def order_statistics(df: DataFrame, picks: Mapping[str, Mapping[str, str]], by:
 
     key = [*group, "bucket"]
     if by:
+        located = materialize(located)
+        largest = located.agg(F.max("_count")).first()[0] or 0
         counted = null_safe_join(values, located.select(*key), key, "left_semi").groupBy(*key, "value").agg(F.count("*").alias("n"))
         picked = located.selectExpr(*key, "before", "total", "inline(wanted)")
     else:
         rows = located.collect()  # at most one per pick
+        largest = max((r["_count"] for r in rows), default=0)
         counted = _values_in_buckets(df, {c: [r["bucket"] for r in rows if r["column"] == c] for c in columns})
         picked = F.broadcast(_picked_table(df.sparkSession, rows))
-    counted = counted.withColumn("upto", F.expr(f"sum(n) OVER (PARTITION BY {', '.join(key)} ORDER BY value)"))
+    if largest <= group_limit:
+        counted = counted.withColumn("upto", F.expr(f"sum(n) OVER (PARTITION BY {', '.join(key)} ORDER BY value)"))
+    else:
+        counted = _sorted_total(counted, "n", [F.col("value")], key, "upto")
     return (
         (null_safe_join(counted, picked, key) if by else counted.join(picked, key))
         .filter("idx < before + upto AND idx >= before + upto - n")
@@ -219,6 +232,11 @@ def running_total(
     if largest <= group_limit:
         upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.sum(value).over(upto))
+    return _sorted_total(df, value, order, by, name)
+
+
+def _sorted_total(df: DataFrame, value: str, order: Sequence[Column], by: Sequence[str], name: str) -> DataFrame:
+    """``running_total`` along a range sort: no task holds more than a sorted partition of a group."""
     rows = _sorted_with_marks(df, [*[F.col(c) for c in by], *order])
     piece = [*by, "_part"]
     upto = Window.partitionBy(*piece).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)

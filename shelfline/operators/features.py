@@ -1,8 +1,9 @@
 """Demand features on the daily store and product series.
 
 Lags and windows count rows of a series, not days.  All series functions share
-one partitioning and one order, so a chain of them costs one shuffle and one
-sort, and the windows within a year one more sort.  After ``aggregate_daily`` a series has at most one row per calendar day,
+one partitioning.  ``build_features`` orders the series by a year column of its
+own and the date, which the windows within a year need as well, so the whole
+chain costs one shuffle and one sort.  After ``aggregate_daily`` a series has at most one row per calendar day,
 which bounds a window partition whatever the number of sales behind it.
 """
 
@@ -23,9 +24,13 @@ WINDOWS = (7, 14, 30)
 WARMUP_DAYS = 30
 
 
-def series_window() -> WindowSpec:
+# Year of the sale, carried along a chain of series functions so that their windows share one sort.
+YEAR = "_year"
+
+
+def series_window(df: DataFrame) -> WindowSpec:
     """Rows of a series by date: one sort for all functions that use it."""
-    return Window.partitionBy(*SERIES).orderBy("sale_date")
+    return Window.partitionBy(*SERIES).orderBy(*[c for c in (YEAR,) if c in df.columns], "sale_date")
 
 
 def aggregate_daily(df: DataFrame) -> DataFrame:
@@ -44,7 +49,7 @@ def aggregate_daily(df: DataFrame) -> DataFrame:
 
 
 def lag_features(df: DataFrame, target: str = "units_sold", lags: Sequence[int] = LAGS) -> DataFrame:
-    w = series_window()
+    w = series_window(df)
     return df.withColumns({f"lag_{n}d": F.lag(target, n).over(w) for n in lags})
 
 
@@ -59,7 +64,7 @@ def rolling_features(df: DataFrame, target: str = "units_sold", windows: Sequenc
     """Mean, sample deviation and maximum of the previous rows, the current one excluded."""
     columns: dict[str, Column] = {}
     for n in windows:
-        w = series_window().rowsBetween(-n, -1)
+        w = series_window(df).rowsBetween(-n, -1)
         columns[f"rolling_{n}d_mean"] = F.avg(target).over(w)
         columns[f"rolling_{n}d_std"] = F.stddev_samp(target).over(w)
         columns[f"rolling_{n}d_max"] = F.max(target).over(w)
@@ -69,7 +74,7 @@ def rolling_features(df: DataFrame, target: str = "units_sold", windows: Sequenc
 def price_features(df: DataFrame) -> DataFrame:
     """Price relative to the competitor and to the previous row, and a discount flag."""
     price, rival = F.col("avg_price"), F.col("avg_competitor_price")
-    before = F.lag("avg_price", 1).over(series_window())
+    before = F.lag("avg_price", 1).over(series_window(df))
     change = (
         F.when(before.isNull() | price.isNull(), 0.0)
         .when(before == 0, F.signum(price).cast("double"))
@@ -97,11 +102,10 @@ def demand_features(df: DataFrame) -> DataFrame:
     mean = F.col("rolling_7d_mean") if "rolling_7d_mean" in df.columns else F.lit(1.0)
     ratio = F.try_divide(std, mean)
     volatility = F.when(mean > 0, F.when(ratio.isNotNull(), F.least(ratio, F.lit(5.0)))).otherwise(0.0)
-    of_year = (
-        Window.partitionBy(*SERIES, F.year("sale_date")).orderBy("sale_date").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    year = F.col(YEAR) if YEAR in df.columns else F.year("sale_date")
+    of_year = Window.partitionBy(*SERIES, year).orderBy("sale_date").rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns({
-        "demand_velocity": F.coalesce(units - F.lag(units, 1).over(series_window()), F.lit(0)),
+        "demand_velocity": F.coalesce(units - F.lag(units, 1).over(series_window(df)), F.lit(0)),
         "demand_volatility": volatility,
         "ytd_cumulative": F.sum(units).over(of_year),
     })
@@ -141,8 +145,8 @@ LEAKING = ["revenue", "avg_price", "demand_velocity", "ytd_cumulative"]
 
 def build_features(cleaned: DataFrame, leak_free: bool = False) -> tuple[DataFrame, DataFrame]:
     """All features from cleaned sales: (with ids, encoded for a model)."""
-    df = aggregate_daily(cleaned)
-    df = demand_features(seasonality_features(price_features(rolling_features(lag_features(df)))))
+    df = aggregate_daily(cleaned).withColumn(YEAR, F.year("sale_date"))
+    df = demand_features(seasonality_features(price_features(rolling_features(lag_features(df))))).drop(YEAR)
     known = cleaned.filter(" AND ".join(f"{k} IS NOT NULL" for k in SERIES))
     df = fill_remaining(drop_warmup(df, start=known))
     encoded = encode_features(df)

@@ -151,6 +151,16 @@ def test_series_features_share_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_built_features_share_one_sort(spark):
+    from shelfline.plans import catalog
+
+    encoded = features.build_features(catalog._cleaned(spark, DATA))[0]
+    plan = plan_of(encoded)
+    windows = plan[plan.index("Window"):]
+    assert windows.count(" Sort [") == 1
+    assert features.YEAR not in encoded.columns
+
+
 def test_plans_have_no_cross_joins_or_python(spark):
     from shelfline.plans import catalog
 

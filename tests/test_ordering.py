@@ -49,6 +49,23 @@ def test_every_position(skewed):
     assert got == {int(i): expected[int(i)] for i in asked}
 
 
+@pytest.mark.parametrize("low, high", [(0, 5e-5), (100, 100.005), (-1e-300, 1e-300)])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_values_that_share_a_bucket_are_searched_in_pieces(spark, monkeypatch, low, high, by):
+    values = np.random.default_rng(5).uniform(low, high, 5000).tolist()
+    df = spark.createDataFrame([(v, None if i % 2 else "a") for i, v in enumerate(values)], "v double, g string")
+    pieces = []
+    cut = ordering._sorted_total
+    monkeypatch.setattr(ordering, "_sorted_total", lambda *args: pieces.append(1) or cut(*args))
+    asked = {"v": {"low": "0", "middle": "CAST(n / 2 AS BIGINT)", "high": "n - 1"}}
+    got = ordering.order_statistics(df, asked, by, group_limit=100).collect()
+    assert pieces
+    for group in ([None, "a"] if by else [0]):
+        rows = sorted(v for i, v in enumerate(values) if not by or (group is None) == bool(i % 2))
+        found = {r["label"]: r["value"] for r in got if not by or r["g"] == group}
+        assert found == {"low": rows[0], "middle": rows[len(rows) // 2], "high": rows[-1]}
+
+
 def test_positions(skewed):
     df, rows = skewed
     got = {r["id"]: r["position"] for r in ordering.with_position(df, [F.col("w").desc(), F.col("id")]).collect()}
