@@ -8,19 +8,18 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfline.llm.common import schema_with
+from shelfline.llm.common import join_groups, schema_with
 from shelfline.session import materialize
 
 # Pages with differing content that a text must be the same on to count as template.
 MIN_PAGES = 5
 MAX_DEPTH = 200
 _ROWS = 256
-_SALTS = 32
+_SALTS = 256
 
 # HTML elements by what they do to a text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -350,30 +349,46 @@ def _outlines(pages: DataFrame) -> DataFrame:
         run, "host string, shape string, places array<struct<place: int, lo: long, hi: long>>, whole long")
 
 
-def _fold_shapes(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    wrapper = None
-    for text in sorted(rows["shape"]):
-        shape = read(text)
-        wrapper = shape if wrapper is None else merged(wrapper, shape)
-    return pd.DataFrame({"host": [key[0]], "shape": [written(wrapper)]})
+def _folded_by_host(shapes: DataFrame, *salt: str) -> DataFrame:
+    """(host, shape): the shapes of each host, or host and salt, as one.
+
+    Rows reach a task in order and are folded as they come, so it holds one
+    folded shape and one batch, however many shapes a host has.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, whole = None, None
+        for batch in batches:
+            hosts, done = [], []
+            for *row, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if row != key:
+                    if key is not None:
+                        hosts.append(key[0])
+                        done.append(written(whole))
+                    key, whole = row, read(text)
+                else:
+                    whole = merged(whole, read(text))
+            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(done, pa.string())], ["host", "shape"])
+        if key is not None:
+            yield pa.record_batch([pa.array([key[0]]), pa.array([written(whole)])], ["host", "shape"])
+
+    keys = ["host", *salt]
+    ordered = shapes.select(*keys, "shape").repartition(*keys).sortWithinPartitions(*keys, "shape")
+    return ordered.mapInArrow(run, "host string, shape string")
 
 
 def induce(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """One wrapper per host: host, wrapper, template (numbers of its constant places).
+    """One row per host: host, pages (how many it has), wrapper, template (numbers of its constant places, or null).
 
-    Distinct shapes of a host are aligned by simple tree matching in groups of
-    bounded share, then the groups' wrappers.  A place is template when all
+    Distinct shapes of a host are aligned by simple tree matching, first in
+    ``_SALTS`` groups that are folded row by row, then the groups' wrappers.  A place is template when all
     its texts on the host are equal, and at least ``min_pages`` pages with differing
-    content hold it.  A host with a third of all pages is many rows in both steps
-    only while its shapes differ; texts come as hashes.
+    content hold it.  A host with a third of all pages is many rows only while its shapes differ,
+    and those are spread over the groups; texts come as hashes.
     """
     outlines = materialize(_outlines(pages))
     shapes = materialize(outlines.select("host", "shape").distinct())
     salted = shapes.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(_SALTS)))
-    partial = salted.groupBy("host", "salt").applyInPandas(
-        lambda key, rows: _fold_shapes(key, rows), "host string, shape string")
-    wrappers = materialize(partial.groupBy("host").applyInPandas(
-        lambda key, rows: _fold_shapes(key, rows), "host string, shape string").withColumnRenamed("shape", "wrapper"))
+    wrappers = materialize(_folded_by_host(_folded_by_host(salted, "salt")).withColumnRenamed("shape", "wrapper"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -397,7 +412,8 @@ def induce(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.min("w_lo").alias("w_lo"), F.max("w_hi").alias("w_hi"))
     constant = by_place.filter((F.col("lo") == F.col("hi")) & (F.col("n") >= min_pages) & (F.col("w_lo") != F.col("w_hi")))
     template = constant.groupBy("host").agg(F.sort_array(F.collect_list("number")).alias("template"))
-    return materialize(wrappers.join(template, "host"))
+    counts = outlines.groupBy("host").agg(F.count("*").alias("pages"))
+    return materialize(wrappers.join(template, "host", "left").join(counts, "host"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -415,7 +431,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     host = F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
     rows = pages.select("page_id", "url", F.lower(host).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     found = induce(rows, min_pages)
-    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "wrapper", "template")
+    joined = join_groups(rows, found, ["host"], "pages").select("page_id", "url", "html", "wrapper", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
