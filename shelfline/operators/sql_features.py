@@ -20,11 +20,11 @@ def _series() -> Window:
     return Window.partitionBy(*SERIES).orderBy("sale_date")
 
 
-def lags(df: DataFrame) -> DataFrame:
-    """Row lags and the change against 365 rows earlier."""
+def lags(df: DataFrame, year_rows: int = YEAR_ROWS) -> DataFrame:
+    """Row lags and the change against ``year_rows`` rows earlier."""
     w = _series()
     columns = {f"lag_{n}d": F.lag("units_sold", n).over(w) for n in LAGS}
-    columns["yoy_change"] = F.col("units_sold") - F.lag("units_sold", YEAR_ROWS).over(w)
+    columns["yoy_change"] = F.col("units_sold") - F.lag("units_sold", year_rows).over(w)
     return df.withColumns(columns)
 
 

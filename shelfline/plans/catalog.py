@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfline import schemas
 from shelfline.functions.columns import round_half_even
 from shelfline.operators import (
     bundles, cleaning, dashboard, etl, features as frame, inventory, marts, modeling, quality, scoring,
@@ -279,19 +280,68 @@ def _(spark, folder):
 
 
 _LEVELS = frame.BAND_LEVELS[1:]
+ORACLE_ENCODED = _frame("frame_features", "SELECT *, " + ", ".join(
+    f"CASE WHEN volatility_band = '{x}' THEN 1 ELSE 0 END AS volatility_band_{x}" for x in _LEVELS
+) + " FROM frame_features")
 
 
 @register(
     "features_encoded",
     _ALL_FRAME + " " + " ".join(f"volatility_band_{x}:n" for x in _LEVELS),
-    _frame("frame_features", "SELECT *, " + ", ".join(
-        f"CASE WHEN volatility_band = '{x}' THEN 1 ELSE 0 END AS volatility_band_{x}" for x in _LEVELS
-    ) + " FROM frame_features"),
+    ORACLE_ENCODED,
 )
 def _(spark, folder):
     return frame.build_features(_cleaned(spark, folder))[1]
 
 
+# Series of a nation and a brand, long enough for every lag
+
+_NATION = {
+    "nations": tpch.STORE_NATIONS_SQL.format(text="VARCHAR"),
+    "sold": "SELECT r.* REPLACE (n.nation AS store_id) FROM raw r JOIN nations n ON r.store_id = n.seller_id",
+    "series": """
+        SELECT sale_date, store_id, product_id, COALESCE(SUM(units_sold), 0) AS units_sold FROM sold GROUP BY ALL""",
+}
+NATION_YEAR_ROWS = 50
+
+
+def _nation_daily(spark, folder):
+    return frame.aggregate_daily(tpch.nation_sales(spark, folder))
+
+
+def _nation_lag(n: int, alias: str) -> str:
+    return f"LAG(units_sold, {n}) OVER ({oracle.SERIES}) AS {alias}"
+
+
+@register("nation_lag_features", _KEY + " ".join(f"lag_{n}d:i" for n in frame.LAGS), _warehouse(
+    "raw", f"SELECT *, {', '.join(_nation_lag(n, f'lag_{n}d') for n in frame.LAGS)} FROM series", **_NATION))
+def _(spark, folder):
+    return frame.lag_features(_nation_daily(spark, folder))
+
+
+@register("nation_calendar_lags", _KEY + "lag_1d:i lag_7d:i lag_30d:i", _warehouse("raw", "SELECT d.*" + "".join(
+    f", (SELECT MAX(b.units_sold) FROM series b WHERE b.store_id = d.store_id AND b.product_id = d.product_id "
+    f"AND b.sale_date = d.sale_date - {n}) AS lag_{n}d" for n in (1, 7, 30)) + " FROM series d", **_NATION))
+def _(spark, folder):
+    return frame.calendar_lag_features(_nation_daily(spark, folder), lags=(1, 7, 30))
+
+
+@register("nation_row_change", _KEY + "lag_1d:i lag_30d:i yoy_change:i", _warehouse("raw", f"""
+    SELECT *, {_nation_lag(1, 'lag_1d')}, {_nation_lag(30, 'lag_30d')},
+        units_sold - LAG(units_sold, {NATION_YEAR_ROWS}) OVER ({oracle.SERIES}) AS yoy_change FROM series""", **_NATION))
+def _(spark, folder):
+    return warehouse.lags(_nation_daily(spark, folder), NATION_YEAR_ROWS)
+
+
+@register("nation_yoy_calendar", _KEY + "yoy_change:i", _warehouse("raw", """
+    SELECT e.*, e.units_sold - b.units_sold AS yoy_change FROM series e
+    LEFT JOIN series b ON b.store_id = e.store_id AND b.product_id = e.product_id
+        AND month(b.sale_date) = month(e.sale_date) AND day(b.sale_date) = day(e.sale_date)
+        AND year(b.sale_date) = year(e.sale_date) - 1""", **_NATION))
+def _(spark, folder):
+    return warehouse.calendar_yoy(_nation_daily(spark, folder))
+
+
 # Features of the warehouse track
 
 _W_LAGS = "lag_1d:n lag_7d:n lag_14d:n lag_30d:n yoy_change:n"
@@ -1039,8 +1089,76 @@ def _(spark, folder):
     return jobs.read_daily_mart(spark, f"{path}/out", ["event_type"])
 
 
+@register(
+    "stream_store_mart",
+    "sale_date store_id region store_type num_transactions:i total_units:i total_revenue:d avg_units:d avg_price_ratio:a",
+    _warehouse("stores", f"""
+        SELECT sale_date, r.store_id, region, store_type, COUNT(*) AS num_transactions, SUM(units_sold) AS total_units,
+            SUM(revenue) AS total_revenue, AVG(units_sold) AS avg_units, AVG(price_ratio) AS avg_price_ratio
+        FROM (SELECT *, CASE WHEN competitor_price > 0
+                THEN {oracle.near('CAST(unit_price AS DOUBLE) / competitor_price', 4)} ELSE 1.0 END AS price_ratio FROM raw) r
+        LEFT JOIN stores s ON r.store_id = s.store_id GROUP BY 1, 2, 3, 4"""),
+)
+def _(spark, folder):
+    path = _scratch_path(spark)
+    arriving = tpch.sales(spark, folder, streaming=True).join(tpch.stores(spark, folder), "store_id", "left")
+    jobs.run_store_mart(arriving, f"{path}/out", f"{path}/state").awaitTermination()
+    return jobs.read_store_mart(spark, f"{path}/out")
+
+
 # Sources and sinks
 
+def _raw_layer(spark: SparkSession, folder: str, prefix: str, sales: DataFrame) -> str:
+    """The declared tables, filled, in the raw layer of this prefix."""
+    layer = writers.create_layers(spark, prefix)[0]
+    writers.create_tables(spark, layer)
+    for name, df in (("sales", sales), ("stores", tpch.stores(spark, folder)), ("products", tpch.brands(spark, folder))):
+        writers.typed(df, name).write.insertInto(f"{layer}.{name}")
+    return layer
+
+
+def _then_dropped(spark: SparkSession, prefix: str, result: DataFrame) -> DataFrame:
+    result = materialize(result)
+    for name in schemas.LAYERS:
+        spark.sql(f"DROP DATABASE {prefix}{name} CASCADE")
+    return result
+
+
+@register("sink_typed_tables", "id:i " + _SALES, _warehouse("raw", "SELECT * REPLACE (0 AS is_holiday, 0 AS discount_pct) FROM raw"))
+def _(spark, folder):
+    prefix = f"run_{uuid.uuid4().hex}_"
+    layer = _raw_layer(spark, folder, prefix, tpch.sales(spark, folder).drop("is_holiday", "discount_pct"))
+    return _then_dropped(spark, prefix, spark.table(f"{layer}.sales"))
+
+
+@register(
+    "sink_warehouse_tables",
+    "sale_date store_id region store_type num_transactions:i total_units:i total_revenue:d avg_units:d avg_price_ratio:a",
+    _warehouse("features", """SELECT sale_date, store_id, region, store_type, COUNT(*) AS num_transactions,
+        SUM(units_sold) AS total_units, SUM(revenue) AS total_revenue, AVG(units_sold) AS avg_units,
+        AVG(price_ratio) AS avg_price_ratio FROM features GROUP BY 1, 2, 3, 4"""),
+)
+def _(spark, folder):
+    prefix = f"run_{uuid.uuid4().hex}_"
+    _raw_layer(spark, folder, prefix, tpch.sales(spark, folder))
+    written = pipelines.run_warehouse_track(spark, prefix)
+    return _then_dropped(spark, prefix, spark.table(next(t for t in written if t.endswith("mv_daily_store_demand"))))
+
+
+@register("stage_features", _KEY + _ALL_FRAME + " volatility_band", _frame("frame_features"))
+def _(spark, folder):
+    path = _scratch_path(spark)
+    writers.write_stage(_frame_features(spark, folder), path, partition_by=("month",))
+    return readers.read_stage(spark, path, "features")
+
+
+@register("stage_encoded", _ALL_FRAME + " " + " ".join(f"volatility_band_{x}:n" for x in _LEVELS), ORACLE_ENCODED)
+def _(spark, folder):
+    path = _scratch_path(spark)
+    writers.write_stage(frame.build_features(_cleaned(spark, folder))[1], path, partition_by=())
+    return readers.read_stage(spark, path, "encoded features")
+
+
 @register("source_csv_sales", _CSV.replace(":t", ""), _frame("csv"))
 def _(spark, folder):
     path = _scratch_path(spark)

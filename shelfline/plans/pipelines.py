@@ -62,15 +62,18 @@ def run_frame_track(spark: SparkSession, raw: str, out: str, exact: bool = True)
     return paths
 
 
-def run_warehouse_track(spark: SparkSession, raw_layer: str = "raw_data") -> list[str]:
-    """Declared raw tables to cleaned, feature and mart tables; existing cleaned and feature tables are kept."""
-    writers.create_layers(spark)
+def run_warehouse_track(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Declared raw tables to cleaned, feature and mart tables; existing cleaned and feature tables are kept.
+
+    ``prefix`` goes before the names of the layers.
+    """
+    raw_layer, cleaned_layer, analytics = writers.create_layers(spark, prefix)
+    enriched_table, feature_table = f"{cleaned_layer}.sales_enriched", f"{analytics}.demand_features"
     sales, stores, products = (spark.table(f"{raw_layer}.{t}") for t in ("sales", "stores", "products"))
-    if not spark.catalog.tableExists("cleaned_data.sales_enriched"):
-        writers.create_table_as(etl_stages(sales, stores, products)["enriched"], "cleaned_data.sales_enriched")
-    if not spark.catalog.tableExists("analytics.demand_features"):
-        enriched = spark.table("cleaned_data.sales_enriched")
-        writers.create_table_as(sql_features.demand_features(enriched), "analytics.demand_features")
-    built = marts.build_marts(spark.table("analytics.demand_features"))
-    writers.refresh_marts(built)
-    return ["cleaned_data.sales_enriched", "analytics.demand_features", *[f"analytics.{m}" for m in built]]
+    if not spark.catalog.tableExists(enriched_table):
+        writers.create_table_as(etl_stages(sales, stores, products)["enriched"], enriched_table)
+    if not spark.catalog.tableExists(feature_table):
+        writers.create_table_as(sql_features.demand_features(spark.table(enriched_table)), feature_table)
+    built = marts.build_marts(spark.table(feature_table))
+    writers.refresh_marts(built, analytics)
+    return [enriched_table, feature_table, *[f"{analytics}.{m}" for m in built]]

@@ -50,11 +50,16 @@ ALLOCATION_REQUEST = _schema(
     ("group_id", _S), ("store_idx", _L), ("demand", _D), ("capacity", _L), ("total_inventory", _L),
 )
 
-# NOT NULL columns and primary keys of the declared tables.
+# NOT NULL columns, primary keys, defaults and text lengths of the declared tables.
 NOT_NULL = {"sales": ["sale_date", "store_id", "product_id"], "competitor_prices": ["scrape_date"]}
 PRIMARY_KEY = {
     "sales": ["id"], "stores": ["store_id"], "products": ["product_id"], "competitor_prices": ["id"],
 }
+DEFAULTS = {
+    "sales": {"discount_pct": "0", "is_promotion": "0", "is_holiday": "0", "loaded_at": "current_timestamp()"},
+    "products": {"is_perishable": "0"},
+    "competitor_prices": {"scraped_at": "current_timestamp()"},
+}
 MAX_LENGTH = {
     "sales": {"store_id": 10, "product_id": 10, "category": 50},
     "stores": {"store_id": 10, "region": 20, "store_type": 20},

@@ -50,6 +50,12 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 WHERE s_suppkey % 50 <> 13
 """
 
+# The nation of a store, a coarser seller whose series are long.
+STORE_NATIONS_SQL = """
+SELECT concat('S', CAST(s_suppkey AS {text})) AS seller_id, n_name AS nation
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+"""
+
 # Brand 25 is left out so that some sales have no product row.
 BRANDS_SQL = """
 SELECT p_brand AS product_id,
@@ -133,8 +139,16 @@ def _run(
     return spark.sql(sql, **args)
 
 
-def sales(spark: SparkSession, folder: str, product: str = PRODUCT_BRAND) -> DataFrame:
-    return _run(spark, folder, sales_sql(product), ("lineitem", "part"))
+def sales(spark: SparkSession, folder: str, product: str = PRODUCT_BRAND, streaming: bool = False) -> DataFrame:
+    """Sales; as a stream, line items arrive while parts are a static table."""
+    return _run(spark, folder, sales_sql(product), ("lineitem", "part"), ("lineitem",) if streaming else ())
+
+
+def nation_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales with the store's nation in place of the store."""
+    nations = _run(spark, folder, STORE_NATIONS_SQL.format(text="STRING"), ("supplier", "nation"))
+    rows = sales(spark, folder).join(nations, F.col("store_id") == F.col("seller_id"))
+    return rows.withColumn("store_id", F.col("nation")).drop("seller_id", "nation")
 
 
 def stores(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,11 +27,12 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
     writer.save(path)
 
 
-def create_layers(spark: SparkSession) -> list[str]:
-    """The three databases: raw, cleaned and analytics."""
-    for name in schemas.LAYERS:
+def create_layers(spark: SparkSession, prefix: str = "") -> list[str]:
+    """The three databases: raw, cleaned and analytics; ``prefix`` goes before their names."""
+    names = [prefix + name for name in schemas.LAYERS]
+    for name in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
-    return list(schemas.LAYERS)
+    return names
 
 
 def create_tables(spark: SparkSession, layer: str = "raw_data") -> list[str]:
@@ -41,8 +42,11 @@ def create_tables(spark: SparkSession, layer: str = "raw_data") -> list[str]:
         table = f"{layer}.{name}"
         if not spark.catalog.tableExists(table):
             required = set(schemas.NOT_NULL.get(name, ())) | set(schemas.PRIMARY_KEY.get(name, ()))
+            defaults = schemas.DEFAULTS.get(name, {})
             columns = ", ".join(
-                f"{f.name} {f.dataType.simpleString()}{' NOT NULL' if f.name in required else ''}" for f in schema
+                f"{f.name} {f.dataType.simpleString()}{' NOT NULL' if f.name in required else ''}"
+                + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "")
+                for f in schema
             )
             spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
             created.append(table)
@@ -76,8 +80,9 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def typed(df: DataFrame, table: str) -> DataFrame:
-    """``df`` cast to a declared table's columns; missing ones are NULL."""
+    """``df`` cast to a declared table's columns; missing ones have the table's default, else NULL."""
+    defaults = schemas.DEFAULTS.get(table, {})
     return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (F.col(f.name) if f.name in df.columns else F.expr(defaults.get(f.name, "NULL"))).cast(f.dataType).alias(f.name)
         for f in schemas.TABLES[table]
     ])

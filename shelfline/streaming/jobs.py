@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfline.operators import quality, scoring
+from shelfline.operators import quality, scoring, sql_features
+from shelfline.session import materialize
 
 
 def event_source(spark: SparkSession, path: str, schema, **options) -> DataFrame:
@@ -99,3 +100,59 @@ def read_daily_mart(spark: SparkSession, path: str, by: Sequence[str]) -> DataFr
     changes = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
     latest = Window.partitionBy("sale_date", *by).orderBy(F.col("batch").desc())
     return changes.withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1").drop("_rank", "batch")
+
+
+_STORE_DAY = ("sale_date", "store_id", "region", "store_type")
+_STORE_SUMS = {
+    "num_transactions": "long", "total_units": "long", "total_revenue": "decimal(38,2)", "units_known": "long",
+    "ratio_sum": "double", "ratio_known": "long",
+}
+_STORE_SCHEMA = ", ".join(
+    ["store_id string, region string, store_type string"]
+    + [f"{name} {kind}" for name, kind in _STORE_SUMS.items()] + ["batch long, sale_date date"]
+)
+
+
+def merge_store_days(sales: DataFrame, batch: int, path: str) -> None:
+    """Adds a batch of enriched sales to the stored sums per day and store.
+
+    Only the days that the batch touches are read, and rewritten whole.  A day
+    knows the last batch it took, so a batch that is repeated after a failure,
+    even one that had written some of its days, counts once.
+    """
+    spark = sales.sparkSession
+    rows = sql_features.price_ratio(sales.filter("sale_date IS NOT NULL"))
+    found = materialize(rows.groupBy(*_STORE_DAY).agg(
+        F.count("*").alias("num_transactions"), F.sum("units_sold").alias("total_units"),
+        F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"), F.count("units_sold").alias("units_known"),
+        F.sum("price_ratio").alias("ratio_sum"), F.count("price_ratio").alias("ratio_known"),
+    ))
+    # at most one row per calendar day, which also prunes the stored partitions
+    days = F.broadcast(found.select("sale_date").distinct())
+    stored = spark.read.schema(_STORE_SCHEMA).parquet(path).join(days, "sale_date", "left_semi")
+    taken = F.broadcast(stored.filter(F.col("batch") >= batch).select("sale_date").distinct())
+    both = found.unionByName(stored.drop("batch")).join(taken, "sale_date", "left_anti")
+    merged = both.groupBy(*_STORE_DAY).agg(*[F.sum(c).cast(kind).alias(c) for c, kind in _STORE_SUMS.items()])
+    (
+        materialize(merged.withColumn("batch", F.lit(batch).cast("long"))).repartition("sale_date")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sale_date").parquet(path)
+    )
+
+
+def run_store_mart(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keeps the daily store mart up to date from a stream of enriched sales, late days included."""
+    empty = stream.sparkSession.createDataFrame([], _STORE_SCHEMA)
+    empty.write.mode("append").partitionBy("sale_date").parquet(path)
+    return (
+        stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        .foreachBatch(lambda rows, batch: merge_store_days(rows, batch, path)).start()
+    )
+
+
+def read_store_mart(spark: SparkSession, path: str) -> DataFrame:
+    """The mart as ``marts.daily_store_demand`` has it; the cost does not depend on the number of batches."""
+    return spark.read.schema(_STORE_SCHEMA).parquet(path).select(
+        *_STORE_DAY, "num_transactions", "total_units", "total_revenue",
+        F.try_divide("total_units", "units_known").alias("avg_units"),
+        F.try_divide("ratio_sum", "ratio_known").alias("avg_price_ratio"),
+    )

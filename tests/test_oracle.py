@@ -10,12 +10,12 @@ from shelfline.plans import catalog
 
 WIDE = """
 etl_dedup_latest etl_enriched clean_full clean_quality_report features_dashboard features_encoded
-calendar_lag_features sql_demand_features sql_yoy_calendar mart_daily_store mart_category mart_regional mart_stockout
+calendar_lag_features nation_lag_features nation_row_change sql_demand_features sql_yoy_calendar mart_daily_store mart_category mart_regional mart_stockout
 mart_promo kpi monthly_revenue_by_year category_summary allocation_summary allocate_all_stores store_anomalies
 reorder_point reorder_point_by_product topk_per_store threshold_counts_many threshold_for_rate percentile_lookup
 range_demand bundle_pairs reorder_schedule forecast_score forecast_risk_factors request_validation
 allocation_validation stride_sample positional_split scaled_features sequences best_model stream_dedup stream_rolling
-stream_sessions stream_score stream_daily_mart source_csv_sales
+stream_sessions stream_score stream_daily_mart sink_typed_tables sink_warehouse_tables stage_encoded source_csv_sales
 """.split()
 
 

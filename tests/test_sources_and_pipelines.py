@@ -80,6 +80,18 @@ def test_warehouse_track(spark):
     assert not writers.create_table_as(spark.range(1), "analytics.demand_features")
 
 
+def test_missing_columns_take_the_declared_default(spark):
+    rows = spark.createDataFrame([("P1", "Toys")], "product_id string, category string")
+    got = writers.typed(rows, "products").first()
+    assert (got["is_perishable"], got["base_price"]) == (0, None)
+    given = writers.typed(rows.withColumn("is_perishable", F.lit(None).cast("short")), "products").first()
+    assert given["is_perishable"] is None
+    layer = writers.create_layers(spark, "defaults_")[0]
+    writers.create_tables(spark, layer)
+    spark.sql(f"INSERT INTO {layer}.products (product_id) VALUES ('P2')")
+    assert spark.table(f"{layer}.products").first()["is_perishable"] == 0
+
+
 def test_table_rules(spark, day):
     rows = [(day("2024-01-01"), "S1", "P1", "Toys"), (None, "S1234567890", "P1", "Toys")]
     df = spark.createDataFrame(rows, "sale_date date, store_id string, product_id string, category string")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
-from shelfline.operators import quality, scoring
+from shelfline.operators import marts, quality, scoring, sql_features
 from shelfline.sources import tpch
 from shelfline.streaming import jobs
 
@@ -57,6 +57,36 @@ def test_daily_mart_keeps_the_latest_totals(spark, parts, tmp_path):
     assert got == {(r["d"], r["event_type"]): r["count"] for r in batch}
 
 
+def test_store_mart_takes_late_rows_and_each_batch_once(spark, tmp_path):
+    source, out, shared = str(tmp_path / "in"), str(tmp_path / "out"), ["sale_date", "store_id"]
+    sales = tpch.sales(spark, DATA).filter("sale_date < '1996-04-01' AND store_id IN ('S1', 'S2', 'S3')")
+    rows = sales.join(tpch.stores(spark, DATA), "store_id", "left")
+    for part in range(3):  # every file holds rows of the same days
+        rows.filter(F.pmod("id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.run_store_mart(stream, out, str(tmp_path / "state")).awaitTermination()
+
+    def stored():
+        return sorted(jobs.read_store_mart(spark, out).select(
+            *shared, "num_transactions", "total_units", "total_revenue", F.round("avg_units", 9), F.round("avg_price_ratio", 9)).collect())
+
+    batch = marts.daily_store_demand(sql_features.price_ratio(rows)).select(
+        *shared, "num_transactions", "total_units", "total_revenue", F.round("avg_units", 9), F.round("avg_price_ratio", 9))
+    expected = sorted(batch.collect())
+    assert stored() == expected and expected
+    # the last batch again, as after a failure
+    jobs.merge_store_days(rows.filter(F.pmod("id", F.lit(3)) == 2), 2, out)
+    assert stored() == expected
+    # a late row of one day leaves the files of the others alone
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "out").glob("sale_date=*/*.parquet")}
+    late = rows.filter(F.col("sale_date") == F.lit(expected[0][0])).limit(1)
+    jobs.merge_store_days(late, 3, out)
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "out").glob("sale_date=*/*.parquet")}
+    changed = {file.parent.name for file, _ in set(before.items()) ^ set(after.items())}
+    assert changed == {f"sale_date={expected[0][0]}"}
+    assert sum(r[2] for r in stored()) == sum(r[2] for r in expected) + 1
+
+
 def test_scoring(spark, tmp_path):
     responses, quarantine = jobs.score_requests(tpch.requests(spark, DATA, streaming=True))
     for name, df in (("good", responses), ("bad", quarantine)):
