@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.operators import cleaning, etl, features, inventory, marts, quality, sql_features
+from shelfline.operators import cleaning, etl, features, inventory, marts, modeling, quality, sql_features
 from shelfline.session import materialize
 from shelfline.sources import readers, writers
 
@@ -44,8 +46,30 @@ def warehouse_features(sales: DataFrame, stores: DataFrame, products: DataFrame)
     return sql_features.demand_features(etl_stages(sales, stores, products)["enriched"])
 
 
-def run_frame_track(spark: SparkSession, raw: str, out: str, exact: bool = True) -> dict[str, str]:
-    """CSV folder to cleaned sales, features, encoded features, quality report and inventory report."""
+def run_training(spark: SparkSession, features_path: str, out: str, models: Mapping | None = None) -> dict[str, str]:
+    """Stored features to the best model, the metrics of all models, and the importances of the trees.
+
+    The models (``modeling.default_models`` unless given) see every row up to
+    the cutoff date and are measured on the rows after it.  Columns that hold the
+    target or are computed from its current value are not used.
+    """
+    paths = {name: f"{out}/{name}" for name in ("model", "metrics", "importance")}
+    train, test = modeling.date_split(readers.read_stage(spark, features_path, "features"))
+    target = "units_sold"
+    train, test = features.encode_features(train), features.encode_features(test)
+    inputs = [c for c in train.columns if c not in (target, *features.LEAKING)]
+    fitted, metrics = modeling.train_models(train, test, inputs, target, models)
+    writers.write_metrics(metrics, paths["metrics"])
+    modeling.save_best(fitted, metrics, paths["model"])
+    trees = {name: model for name, model in fitted.items() if hasattr(model.stages[-1], "featureImportances")}
+    writers.write_report({name: modeling.feature_importance(model, inputs) for name, model in trees.items()}, paths["importance"])
+    return paths
+
+
+def run_frame_track(
+    spark: SparkSession, raw: str, out: str, exact: bool = True, models: Mapping | None = None
+) -> dict[str, str]:
+    """CSV folder to cleaned sales, features, encoded features, quality and inventory reports, and trained models."""
     paths = {name: f"{out}/{name}" for name in ("cleaned", "features", "encoded", "quality", "inventory")}
     sales = readers.read_sales(spark, candidates=[f"{raw}/retail_sales.csv", f"{raw}/sales.csv"])
     cleaned = clean(
@@ -59,7 +83,7 @@ def run_frame_track(spark: SparkSession, raw: str, out: str, exact: bool = True)
     with_ids = readers.read_stage(spark, paths["features"], "features")
     writers.write_stage(features.encode_features(with_ids), paths["encoded"], partition_by=())
     writers.write_report(inventory.inventory_report(with_ids), paths["inventory"])
-    return paths
+    return paths | run_training(spark, paths["features"], out, models)
 
 
 def run_warehouse_track(spark: SparkSession, prefix: str = "") -> list[str]:

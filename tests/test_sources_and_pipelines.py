@@ -1,11 +1,12 @@
 """Readers, writers, tables and both tracks end to end."""
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from conftest import DATA
 from shelfline import schemas
-from shelfline.operators import quality
+from shelfline.operators import features, modeling, quality
 from shelfline.plans import pipelines
 from shelfline.sources import readers, tpch, writers
 
@@ -57,12 +58,22 @@ def test_stage_is_pruned_by_partition(spark, tmp_path):
 
 
 def test_frame_track(spark, raw, tmp_path):
-    paths = pipelines.run_frame_track(spark, raw, str(tmp_path))
+    models = {"boosted_trees": modeling.boosted_trees(trees=3, depth=3), "linear": modeling.linear_model()}
+    paths = pipelines.run_frame_track(spark, raw, str(tmp_path), models=models)
     assert spark.read.parquet(paths["features"]).count() == 5799
     encoded = spark.read.parquet(paths["encoded"])
     assert encoded.count() == 5799 and "store_id" not in encoded.columns
     assert {r["check"] for r in spark.read.json(paths["quality"]).filter("passed").collect()} >= {"no_nulls", "no_negative_units"}
     assert spark.read.json(f"{paths['inventory']}/top_k_stockout").count() == 20
+    metrics = {r["model"]: r for r in spark.read.json(f"{paths['metrics']}/json").collect()}
+    assert set(metrics) == set(models)
+    weights = spark.read.json(f"{paths['importance']}/boosted_trees").collect()
+    used = {r["feature"] for r in weights}
+    assert abs(sum(r["importance"] for r in weights) - 1) < 1e-9 and "lag_1d" in used and not used & {"units_sold", "revenue"}
+    test = features.encode_features(modeling.date_split(spark.read.parquet(paths["features"]))[1])
+    again = modeling.regression_metrics(PipelineModel.load(paths["model"]).transform(test)).first()
+    best = max(metrics.values(), key=lambda r: r["r2"])
+    assert abs(again["r2"] - best["r2"]) < 1e-3
 
 
 def test_warehouse_track(spark):
