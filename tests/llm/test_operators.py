@@ -333,6 +333,22 @@ def test_around_the_article(spark):
     assert wrappers.extract(frame.limit(0)).collect() == []
 
 
+def test_shapes_fold_in_order_across_batches(spark):
+    shapes = sorted(f"d(h1,{'p,' * (i % 3)}x{i})" for i in range(300))
+    rows = [(host, shape) for host in ("a", "b") for shape in (shapes if host == "a" else shapes[:2])]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = dict(wrappers._folded_by_host(spark.createDataFrame(rows, "host string, shape string")).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for host, used in (("a", shapes), ("b", shapes[:2])):
+        whole = wrappers.read(used[0])
+        for shape in used[1:]:
+            whole = wrappers.merged(whole, wrappers.read(shape))
+        assert got[host] == wrappers.written(whole)
+
+
 def test_tree_matching_and_merging():
     a, b = wrappers.read("d(h1,p,u(li),p)"), wrappers.read("d(p,x,u(li,s),p)")
     assert wrappers.matching(a, b)[0] == 5
