@@ -85,11 +85,12 @@ class Block:
         return found, back, counts > 1
 
     def messages(self, keys: np.ndarray):
-        """The sorted keys cut at bucket bounds: (bucket, slice)."""
-        step = (1 << 64) // self.buckets + 1
-        bounds = np.searchsorted(keys, np.array([b * step for b in range(1, self.buckets)], np.uint64))
-        cuts = [0, *bounds.tolist(), len(keys)]
-        return [(b, slice(x, y)) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y]
+        """The sorted keys cut at bucket bounds: (bucket, slice) of each bucket with keys."""
+        step = np.uint64((1 << 64) // self.buckets + 1) if self.buckets > 1 else None
+        numbers = keys // step if step else np.zeros(len(keys), np.uint64)
+        # only buckets that a key falls into, so a block's work does not grow with their number
+        starts = np.flatnonzero(np.diff(numbers, prepend=numbers[:1] + np.uint64(1)))
+        return [(int(numbers[x]), slice(x, y)) for x, y in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)])]
 
     def repeated(self, places: np.ndarray, width: int, answers: dict[int, bytes]) -> np.ndarray:
         """The places whose string occurs elsewhere, from the buckets' answers."""
