@@ -9,8 +9,8 @@ Seen from the smaller side, the i-th product can take the partners number
 free.  With ``p`` the number of partners passed so far the step is
 ``p -> min(max(p, lo) + 1, hi)``.  In terms of ``p - i`` that is a clamp to two
 bounds, and a chain of clamps is again one clamp.  So blocks of products are
-condensed to two numbers each, the blocks are chained, and then every block is
-paired on its own, which gives the sequential result from bounded pieces.
+condensed to two numbers each, blocks of blocks likewise, and then every block
+is paired on its own, which gives the sequential result from bounded pieces.
 """
 
 from __future__ import annotations
@@ -18,9 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.joins import null_safe_join
 from shelfline.functions.ordering import running_total
@@ -31,15 +29,38 @@ _BELOW, _ITEM, _UPTO = 0, 1, 2  # order of rows at the same demand
 _UNBOUNDED = 2**62
 
 
-def _clamp(value: int, low: int, high: int) -> int:
-    return min(max(value, low), high)
+def _clamped(value: Column, step: Column) -> Column:
+    return F.least(F.greatest(value, step["low"]), step["high"])
 
 
-def _condense(pdf: pd.DataFrame) -> tuple[int, int]:
-    low, high = -_UNBOUNDED, _UNBOUNDED
-    for a, b in zip(pdf["low"].tolist(), pdf["high"].tolist()):
-        low, high = _clamp(low, a, b), _clamp(high, a, b)
-    return low, high
+def _with_state(steps: DataFrame, group: Sequence[str], place: str, last: int, size: int) -> DataFrame:
+    """``steps`` (clamps ``low``, ``high`` by place) with ``state``: what 0 has become before each of them.
+
+    Runs of ``size`` steps are condensed to one clamp each; the state before a
+    run comes from the same on the runs, so no array is longer than ``size``.
+    """
+    key = [*group, "_run"]
+    others = [c for c in steps.columns if c not in group]
+    runs = steps.withColumn("_run", F.floor(F.col(place) / F.lit(size))).groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct(place, *[c for c in others if c != place]))).alias("_steps")
+    )
+    if last < size:
+        runs = runs.withColumn("state", F.lit(0).cast("long"))
+    else:
+        ends = [F.aggregate("_steps", F.lit(end), _clamped).alias(name)
+                for name, end in (("low", -_UNBOUNDED), ("high", _UNBOUNDED))]
+        # another name, since the level above has runs of its own
+        whole = runs.select(*group, F.col("_run").alias("_place"), *ends)
+        before = _with_state(whole, group, "_place", last // size, size)
+        runs = null_safe_join(runs, before.select(*group, F.col("_place").alias("_run"), "state"), key)
+    states = F.aggregate(
+        "_steps",
+        F.struct(F.col("state").alias("now"), F.array().cast("array<bigint>").alias("seen")),
+        lambda acc, step: F.struct(
+            _clamped(acc["now"], step).alias("now"), F.array_append(acc["seen"], acc["now"]).alias("seen")),
+    )["seen"]
+    told = runs.select(*group, F.inline(F.arrays_zip("_steps", states.alias("state"))))
+    return told.select(*group, *[F.col("_steps")[c].alias(c) for c in others], "state")
 
 
 def bundle_pairs(
@@ -48,19 +69,24 @@ def bundle_pairs(
     by: Sequence[str] = (),
     item: str = "product_id",
     demand: str = "demand",
-    block_size: int = 50_000,
+    block_size: int = 256,
     group_limit: int = 1_000_000,
+    scale: int = 6,
 ) -> DataFrame:
-    """(``by``, left_product, right_product, combined_demand) of every pair."""
+    """(``by``, left_product, right_product, combined_demand) of every pair.
+
+    Demands are compared as decimals with ``scale`` places, so that a sum at the
+    very edge of the tolerance counts whatever the order of its parts.
+    """
     group = list(by)
     if not group:
         products, group = products.withColumn("_all", F.lit(0)), ["_all"]
     goal = Decimal(str(target))
     slack = goal * TOLERANCE
-    value = F.col(demand).cast("decimal(18,6)")
+    value = F.col(demand).cast(f"decimal({12 + scale},{scale})")
 
     def row(point, kind: int):
-        return F.struct(point.cast("decimal(20,6)").alias("point"), F.lit(kind).alias("kind"))
+        return F.struct(point.cast(f"decimal({14 + scale},{scale})").alias("point"), F.lit(kind).alias("kind"))
 
     # one row per product, read several times below
     products = materialize(
@@ -89,46 +115,18 @@ def bundle_pairs(
             *group, "item", "value", "pos", "n",
             (F.col("n") - F.col("upto") - F.col("pos")).alias("low"),
             (F.col("n") - F.col("below") - 1 - F.col("pos")).alias("high"),
-            F.floor(F.col("pos") / F.lit(block_size)).alias("block"),
         )
     )
     placed = materialize(placed)
 
-    key_types = {f.name: f.dataType.simpleString() for f in placed.schema}
-    keys = ", ".join(f"`{c}` {key_types[c]}" for c in group)
-
-    def condense_block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        low, high = _condense(pdf.sort_values("pos"))
-        return pd.DataFrame([[*key, low, high]], columns=[*group, "block", "low", "high"])
-
-    def chain_blocks(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        state, entry = 0, []
-        for a, b in zip(pdf["low"].tolist(), pdf["high"].tolist()):
-            entry.append(state)
-            state = _clamp(state, a, b)
-        return pdf.assign(entry=entry)[[*group, "block", "entry"]]
-
-    def pair_block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        state, before = int(pdf["entry"].iloc[0]), np.empty(len(pdf), dtype="int64")
-        low, high = pdf["low"].to_numpy(), pdf["high"].to_numpy()
-        for i, (a, b) in enumerate(zip(low.tolist(), high.tolist())):
-            before[i] = state
-            state = _clamp(state, a, b)
-        # the partner taken, counted from the largest product
-        partner = np.maximum(before, low) + pdf["pos"].to_numpy()
-        free = partner <= high + pdf["pos"].to_numpy()
-        right = pdf["n"].to_numpy() - 1 - partner
-        return pdf.assign(right_pos=right)[free & (pdf["pos"].to_numpy() < right)][[*group, "item", "value", "right_pos"]]
-
-    # One row per block, so chaining touches a 50,000th of the products.
-    bounds = placed.groupBy(*group, "block").applyInPandas(condense_block, f"{keys}, block long, low long, high long")
-    entries = bounds.groupBy(*group).applyInPandas(chain_blocks, f"{keys}, block long, entry long")
+    last = placed.agg(F.max("pos")).first()[0] or 0
+    # the partner taken, counted from the largest product
+    partner = F.greatest("state", "low") + F.col("pos")
     lefts = (
-        null_safe_join(placed, entries, [*group, "block"])
-        .groupBy(*group, "block")
-        .applyInPandas(pair_block, f"{keys}, item {key_types['item']}, value decimal(18,6), right_pos long")
+        _with_state(placed, group, "pos", last, block_size)
+        .filter(partner <= F.col("high") + F.col("pos"))
+        .select(*group, "item", "value", "pos", (F.col("n") - 1 - partner).alias("right_pos"))
+        .filter("pos < right_pos")
     )
     rights = placed.select(
         *group, F.col("pos").alias("right_pos"), F.col("item").alias("right_product"), F.col("value").alias("right_value")

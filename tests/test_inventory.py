@@ -197,7 +197,7 @@ def two_ends(products, target):
     return pairs
 
 
-@pytest.mark.parametrize("block_size, limit", [(50_000, 1_000_000), (7, 20)])
+@pytest.mark.parametrize("block_size, limit", [(256, 1_000_000), (7, 20), (3, 20)])
 def test_bundles_like_the_scan(spark, block_size, limit):
     rng = random.Random(7)
     groups = {}
@@ -223,6 +223,8 @@ def test_bundles_small(spark):
     rows = bundles.bundle_pairs(df, 50).collect()
     assert {(r["left_product"], r["right_product"], r["combined_demand"]) for r in rows} == {("A", "D", 50.0), ("B", "C", 50.0)}
     assert bundles.bundle_pairs(df.filter("demand < 25"), 100).count() == 0
+    plan = bundles.bundle_pairs(df, 50)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_report(spark):
