@@ -9,17 +9,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.llm import byte_bpe, exact_dedup, mixing, near_dup, quality, queries
-from shelfline.llm.common import DOCUMENT_COLUMNS, table
+from shelfline.llm.common import DOCUMENT_COLUMNS, table, text_of
 from shelfline.session import materialize
 
 
-def _kept(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id a decision keeps, one row for each id."""
-    ids = decisions.filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+def _kept(docs: DataFrame, decisions: DataFrame, once: Column) -> DataFrame:
+    """The rows of ``docs`` whose ``_key`` (never null) a decision keeps; of those with one key and ``once``, one row."""
+    keys = decisions.filter("kept").select("_key").distinct()
+    rows = docs.join(keys, "_key", "left_semi").withColumn("_once", once)
+    return rows.dropDuplicates(["_key", "_once"]).select(*DOCUMENT_COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +31,30 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal but for white space, one stays."""
+    """Of documents that are equal but for white space, one stays.
+
+    Rows are told apart by id, text and length, so documents without an id, or with an id of others, stay as well.
+    """
+    def key(digest: Column, length: Column) -> Column:
+        return F.concat_ws(":", digest, length.cast("string"), F.col("doc_id").cast("string"))
+
     decisions = exact_dedup.deduplicate(docs, f"pipeline_index_{uuid.uuid4().hex}", batch="pipeline")
-    return _kept(docs, decisions).select(*DOCUMENT_COLUMNS)
+    decisions = decisions.withColumn("_key", key(F.col("text_sha256"), F.col("n_chars")))
+    own = key(exact_dedup.digest_of(), F.length(text_of()))
+    return _kept(docs.withColumn("_key", own), decisions, F.lit(0))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the one with the smallest id stays."""
-    decisions = near_dup.near_duplicates(docs, words_in_shingle=5, percent=80, bands=48)
-    return _kept(docs, decisions).select(*DOCUMENT_COLUMNS)
+    """Of each group of near copies (five-word shingles, similarity 0.8) the one with the smallest id stays.
+
+    Null ids come last: such documents go by a number above 2^62 that their text gives.
+    Different texts with one id are one document here, and stay or go together.
+    """
+    stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text_of()), 2)
+    docs = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), stand_in))
+    decisions = near_dup.near_duplicates(
+        docs.select(F.col("_key").alias("doc_id"), "text"), words_in_shingle=5, percent=80, bands=48)
+    return _kept(docs, decisions.withColumnRenamed("doc_id", "_key"), F.sha2(text_of(), 256))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

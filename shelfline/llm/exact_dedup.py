@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.llm.common import SPACE_CHARS, join_groups, shuffle_partitions, text_of
 from shelfline.session import materialize
@@ -20,6 +20,11 @@ def _write(rows: DataFrame, name: str, buckets: int) -> None:
     rows.write.mode("append").format("parquet").bucketBy(buckets, "digest").sortBy("digest").saveAsTable(name)
 
 
+def digest_of() -> Column:
+    """SHA-256 (lowercase hex) of the text without white space."""
+    return F.sha2(F.translate(text_of(), SPACE_CHARS, ""), 256)
+
+
 def deduplicate(docs: DataFrame, index: str, batch: str, buckets: int | None = None) -> DataFrame:
     """Adds the new texts of ``docs`` to ``index`` and returns a decision for each row.
 
@@ -32,7 +37,7 @@ def deduplicate(docs: DataFrame, index: str, batch: str, buckets: int | None = N
     ``batch`` names the run: repeating a batch that was added finds its own rows
     again and changes nothing.
 
-    Columns: doc_id, keep_id, group_size (rows of this batch), kept, text_sha256.
+    Columns: doc_id, keep_id, group_size (rows of this batch), kept, text_sha256, n_chars.
     Null counts as the empty text; null ids come after all others; of rows that
     repeat with their id one stays.  No rows give no rows.
     """
@@ -41,7 +46,7 @@ def deduplicate(docs: DataFrame, index: str, batch: str, buckets: int | None = N
     rows = materialize(docs.select(
         "doc_id",
         F.length(text_of()).cast("long").alias("n_chars"),
-        F.unhex(F.sha2(F.translate(text_of(), SPACE_CHARS, ""), 256)).alias("digest"),
+        F.unhex(digest_of()).alias("digest"),
         F.monotonically_increasing_id().alias("row"),
     ))
     best = F.min(F.struct(
@@ -65,5 +70,5 @@ def deduplicate(docs: DataFrame, index: str, batch: str, buckets: int | None = N
     sizes = materialize(groups.select("digest", "group_size").join(stay, "digest"))
     return join_groups(rows, sizes, ["digest"], "group_size").select(
         "doc_id", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"), "n_chars",
     )

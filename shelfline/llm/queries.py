@@ -49,7 +49,8 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.deduplicate(table(spark, folder, "documents"), _fresh("digest_index"), batch="first")
+    decisions = exact_dedup.deduplicate(table(spark, folder, "documents"), _fresh("digest_index"), batch="first")
+    return decisions.drop("n_chars")
 
 
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -32,3 +32,17 @@ def test_pipeline_stages(spark, odd):
     assert again.count() <= 3 * odd.count()
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, odd.limit(0), small).count() == 0
+
+
+def test_pipeline_keeps_different_texts_without_ids(spark):
+    words = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(4)]
+    rows = [(None, words[0]), (None, words[1]), (None, words[1] + " "), (7, words[2]), (7, words[3]), (7, words[3]), (9, words[2] + " end"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "web", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    exact = corpus_pipeline.exact_copies(spark, docs, SF)
+    near = corpus_pipeline.near_copies(spark, exact, SF)
+    alone = corpus_pipeline.near_copies(spark, docs, SF)
+    order = lambda r: (str(r[0]), str(r[1]))
+    one_each = [(None, words[0]), (None, words[1] + " "), (7, words[2]), (7, words[3]), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in exact.collect()), key=order) == sorted([*one_each, (9, words[2] + " end")], key=order)
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=order) == sorted(one_each, key=order)
+    assert len(alone.collect()) == 5
