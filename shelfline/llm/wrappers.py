@@ -38,7 +38,7 @@ CLOSES = {
 SCOPES = set("ul ol dl table article main section div body html".split())
 # Elements that stand in a row as items, whatever they hold.
 ITEMS = set("p li dt dd tr td th option h1 h2 h3 h4 h5 h6 pre blockquote hr".split())
-# Words in class, id or role that mark what is around an article.
+# Whole classes, ids and roles that mark what is around an article.
 AROUND = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice notices alert sidebar nav navigation navbar menu breadcrumb breadcrumbs footer header masthead comment comments "
@@ -52,31 +52,66 @@ _TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
     re.S,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PLAIN = re.compile(r"[^a-z0-9:-]")
 _ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
 @dataclass
 class Node:
-    """An element of the page, with its pieces of text and its child elements in order."""
+    """An element of the page, with its pieces of text and its child elements in order.
+
+    ``around`` is said by its element name, ``marked`` by its class, id or role.
+    """
 
     label: str
     around: bool
     main: bool
+    marked: bool = False
     items: list = field(default_factory=list)
     runs: list = field(default_factory=list)
 
 
-def _names(attrs: str) -> list[str]:
-    if "class" not in attrs and "id" not in attrs and "role" not in attrs:
-        lowered = attrs.lower()
-        if not ("class" in lowered or "id" in lowered or "role" in lowered):
-            return []
-    words = []
-    for found in _NAMED.finditer(attrs):
-        words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", found[1] or found[2] or found[3] or "").lower())
-    return words
+def _names(attrs: str) -> tuple[list[str], set[str], bool]:
+    """The words in class, id and role, their whole tokens, and whether the role is main."""
+    lowered = attrs.lower()
+    words, tokens, main = [], set(), False
+    if "class" in lowered or "id" in lowered or "role" in lowered:
+        for found in _ATTR.finditer(attrs):
+            name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+            if value and name in ("class", "id", "role"):
+                words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
+                tokens.update(value.lower().split())
+                main |= name == "role" and "main" in value.lower().split()
+    return words, tokens, main
+
+
+def _unmark_around_article(root: Node) -> None:
+    """What holds the article isn't around it, whatever its class, id or role says.
+
+    The article is the main or article element with the most text that no
+    element name puts aside, and within it the one that holds more than half of that, if any.
+    """
+    order: list[tuple[Node, int, bool]] = [(root, -1, False)]
+    for at, (node, _, aside) in enumerate(order):  # grows while it is read: parents come first
+        order += [(item, at, aside or item.around) for item in node.items if isinstance(item, Node)]
+    sizes = [sum(len(item) for item in node.items if isinstance(item, str)) for node, _, _ in order]
+    for at in range(len(order) - 1, 0, -1):
+        sizes[order[at][1]] += sizes[at]
+    nearest, inner, mains = [-1] * len(order), {}, []
+    for at, (node, parent, aside) in enumerate(order):
+        outer = nearest[at] = nearest[parent] if at else -1
+        if node.main and not aside:
+            if outer >= 0 and 2 * sizes[at] > sizes[outer]:
+                inner[outer] = at
+            nearest[at] = at
+            mains.append(at)
+    article = max(mains, key=lambda at: (sizes[at], -at), default=-1)
+    while article in inner:
+        article = inner[article]
+    while article >= 0:
+        order[article][0].marked = False
+        article = order[article][1]
 
 
 def parse(html: str) -> Node:
@@ -87,13 +122,15 @@ def parse(html: str) -> Node:
     """
     root = Node("html", False, False)
     stack = [("html", root)]
-    at = 0
+    at, held = 0, False
     while True:
         found = _TOKEN.search(html, at)
         upto = found.start() if found else len(html)
         if upto > at:
             stack[-1][1].items.append(html[at:upto])
         if not found:
+            if held:
+                _unmark_around_article(root)
             return root
         at = found.end()
         tag = (found["tag"] or "").lower()
@@ -124,9 +161,11 @@ def parse(html: str) -> Node:
             elif name in SCOPES:
                 break
         attrs = found["attrs"] or ""
-        words = _names(attrs)
-        label = ".".join([_PLAIN.sub("", tag), *sorted(set(words))])
-        node = Node(label, tag in DROPPED or any(w in AROUND for w in words), tag in MAIN or "main" in words and "role" in attrs)
+        words, tokens, main = _names(attrs)
+        main |= tag in MAIN
+        marked = not main and tag not in ("html", "body") and not tokens.isdisjoint(AROUND)
+        node = Node(".".join([_PLAIN.sub("", tag), *sorted(set(words))]), tag in DROPPED, main, marked)
+        held = held or main and any(open_.marked for _, open_ in stack)
         stack[-1][1].items.append(node)
         # deeper elements only separate blocks, so no page is too deep to walk
         if tag not in VOID and not attrs.endswith("/") and len(stack) < MAX_DEPTH:
@@ -277,7 +316,7 @@ def _tidy(parts: list[str]) -> str:
 def blocks(root: Node) -> Iterator[tuple[Node, str, bool, bool]]:
     """(element, text, around, in main) of each run of text between block boundaries, in page order."""
     def walk(node: Node, around: bool, main: bool) -> Iterator:
-        around |= node.around and not (main and node.label.split(".")[0] == "header" and _has_heading(node))
+        around |= (node.around or node.marked) and not (main and node.label.split(".")[0] == "header" and _has_heading(node))
         main |= node.main and not around
         run: list[str] = []
         for item in node.items:

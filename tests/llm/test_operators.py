@@ -333,6 +333,21 @@ def test_around_the_article(spark):
     assert wrappers.extract(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<body class='page has-sidebar'><div class='ad-free layout'><p>one</div></body>", "one"),
+    ("<body class=search id=comments><article class='share ad' role=search><p>one</article></body>", "one"),
+    ("<article><section id='related-work'>one</section><div id='search-results'>two</div><p data-id=ad data-role=search title='x class=ad'>three"
+     "<div class='share'>four</div></article>", "one\ntwo\nthree"),
+    ("<div class='widget'><div id=search><main><p>one is the longer text</main></div></div><div class='related'><article>teaser</article></div>",
+     "one is the longer text"),
+    ("<main><p>one is the longer text</p><div class='related'><article>teaser</article></div></main>", "one is the longer text"),
+    ("<main>by<div class='comments'><article>one is the longer text</article></div></main>", "by\none is the longer text"),
+    ("<div class='Sidebar'>side</div><div role=main class=menu>one</div>", "one"),
+])
+def test_names_mark_whole_tokens_and_never_the_article(html, want):
+    assert wrappers.main_text(html, None, set()) == want
+
+
 def test_shapes_fold_in_order_across_batches(spark):
     shapes = sorted(f"d(h1,{'p,' * (i % 3)}x{i})" for i in range(300))
     rows = [(host, shape) for host in ("a", "b") for shape in (shapes if host == "a" else shapes[:2])]
