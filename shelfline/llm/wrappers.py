@@ -1,4 +1,4 @@
-"""Main text of web pages by wrapper induction: pages of a host are aligned, and what stays constant is template."""
+"""Main text of web pages by wrapper induction: pages of a host are aligned, and what most of them share is template."""
 
 from __future__ import annotations
 
@@ -17,6 +17,8 @@ from shelfline.session import materialize
 
 # Pages with differing content that a text must be the same on to count as template.
 MIN_PAGES = 5
+# The share of the host's pages with its place that a template text stands on.
+SHARE = 0.5
 MAX_DEPTH = 200
 _ROWS = 256
 _SALTS = 256
@@ -337,20 +339,30 @@ def _has_heading(node: Node) -> bool:
     return any(isinstance(c, Node) and (re.match(r"h[1-6]\b", c.label) or _has_heading(c)) for c in node.items)
 
 
-def main_text(html: str, wrapper: str | None, template: set[int]) -> str:
-    """The blocks of a page that are content: not around the article, and not in a template place of its host.
+def _in_main(found: list[tuple[Node, str, bool, bool]]) -> list[tuple[Node, str, bool, bool]]:
+    """The blocks in the page's article or main element, or all where it has none."""
+    if any(main and not around for _, _, around, main in found):
+        return [b for b in found if b[3]]
+    return found
+
+
+def _text_hash(text: str) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(text.encode()))
+
+
+def main_text(html: str, wrapper: str | None, template: set[tuple[int, int]]) -> str:
+    """The blocks of a page that are content: not around the article, and not a template text of their place on the host.
 
     A page with an article or main element is read there, any other in its body.
+    ``template`` has (place in the wrapper, text hash).
     """
     root = parse(html)
-    found = list(blocks(root))
-    if any(main and not around for _, _, around, main in found):
-        found = [b for b in found if b[3]]
+    found = _in_main(list(blocks(root)))
     if template and wrapper:
         shape, own = shape_of(root), {}
         place(root, shape, 0, own)
         places = _places(written(shape), wrapper)
-        found = [b for b in found if places.get(own[id(b[0])]) not in template]
+        found = [b for b in found if (places.get(own[id(b[0])]), _text_hash(b[1])) not in template]
     return "\n".join(text for _, text, around, _ in found if not around)
 
 
@@ -359,33 +371,30 @@ def _signed(value: int) -> int:
 
 
 def _outlines(pages: DataFrame) -> DataFrame:
-    """host, shape, and for each place of the page its least and greatest text hash, with a hash of the whole content."""
+    """host, shape, the places of the page with their text hashes, and a hash of the whole content."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(at, _ROWS)
-                shapes, places, wholes = [], [], []
+                shapes, places, texts, wholes = [], [], [], []
                 for html in part.column(1):
                     root = parse(html.as_py())
                     shape, own = shape_of(root), {}
                     place(root, shape, 0, own)
-                    seen: dict[int, list[int]] = {}
-                    whole = xxhash.xxh3_64()
-                    for element, text, around, _ in blocks(root):
-                        raw = text.encode()
-                        if not around:
-                            whole.update(raw + b"\n")
-                        seen.setdefault(own[id(element)], []).append(_signed(xxhash.xxh3_64_intdigest(raw)))
+                    found = list(blocks(root))
+                    held = sorted({(own[id(element)], _text_hash(text)) for element, text, _, _ in found})
+                    whole = "\n".join(text for _, text, around, _ in _in_main(found) if not around)
                     shapes.append(written(shape))
-                    places.append([{"place": p, "lo": min(v), "hi": max(v)} for p, v in seen.items()])
-                    wholes.append(_signed(whole.intdigest()))
-                kind = pa.list_(pa.struct([("place", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64())]))
+                    places.append([number for number, _ in held])
+                    texts.append([text for _, text in held])
+                    wholes.append(_text_hash(whole))
                 yield pa.record_batch(
-                    [part.column(0), pa.array(shapes), pa.array(places, kind), pa.array(wholes, pa.int64())],
-                    ["host", "shape", "places", "whole"])
+                    [part.column(0), pa.array(shapes), pa.array(places, pa.list_(pa.int32())),
+                     pa.array(texts, pa.list_(pa.int64())), pa.array(wholes, pa.int64())],
+                    ["host", "shape", "places", "texts", "whole"])
 
     return pages.select("host", "html").mapInArrow(
-        run, "host string, shape string, places array<struct<place: int, lo: long, hi: long>>, whole long")
+        run, "host string, shape string, places array<int>, texts array<long>, whole long")
 
 
 def _folded_by_host(shapes: DataFrame, *salt: str) -> DataFrame:
@@ -415,44 +424,50 @@ def _folded_by_host(shapes: DataFrame, *salt: str) -> DataFrame:
     return ordered.mapInArrow(run, "host string, shape string")
 
 
-def induce(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """One row per host: host, pages (how many it has), wrapper, template (numbers of its constant places, or null).
+def _aligned(outlines: DataFrame) -> DataFrame:
+    """(host, number, text) once per page for each text in a place of its host's wrapper, and with a null text for each place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                hosts, numbers, texts = [], [], []
+                for host, shape, wrapper, own, held in zip(*(c.to_pylist() for c in batch.slice(at, _ROWS).columns)):
+                    places = _places(shape, wrapper)
+                    found = {(places[p], text) for p, text in zip(own, held) if p in places}
+                    found |= {(number, None) for number, _ in found}
+                    hosts += [host] * len(found)
+                    numbers += [number for number, _ in found]
+                    texts += [text for _, text in found]
+                yield pa.record_batch(
+                    [pa.array(hosts, pa.string()), pa.array(numbers, pa.int32()), pa.array(texts, pa.int64())],
+                    ["host", "number", "text"])
+
+    return outlines.select("host", "shape", "wrapper", "places", "texts").mapInArrow(run, "host string, number int, text long")
+
+
+def induce(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """One row per host: host, pages (how many it has), wrapper, template ((number of a place, text hash) each, or null).
 
     Distinct shapes of a host are aligned by simple tree matching, first in
-    ``_SALTS`` groups that are folded row by row, then the groups' wrappers.  A place is template when all
-    its texts on the host are equal, and at least ``min_pages`` pages with differing
-    content hold it.  A host with a third of all pages is many rows only while its shapes differ,
-    and those are spread over the groups; texts come as hashes.
+    ``_SALTS`` groups that are folded row by row, then the groups' wrappers.  Each place
+    of the wrapper counts its pages, and the pages of each of its texts; list items and
+    paragraphs that share a place are counted one by one.  A text is template in its place when at least
+    ``min_pages`` pages with differing content hold it there, and these are at least
+    ``share`` of the pages with that place; pages of equal content count once.  A host with a third of all pages is
+    many rows only while its shapes differ, and those are spread over the groups; texts come as hashes.
     """
     outlines = materialize(_outlines(pages))
-    shapes = materialize(outlines.select("host", "shape").distinct())
+    shapes = outlines.select("host", "shape").distinct()
     salted = shapes.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(_SALTS)))
-    wrappers = materialize(_folded_by_host(_folded_by_host(salted, "salt")).withColumnRenamed("shape", "wrapper"))
-
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hosts, outlines_, own, numbers = [], [], [], []
-            for host, shape, wrapper in zip(*(c.to_pylist() for c in batch.columns)):
-                for at, number in _places(shape, wrapper).items():
-                    hosts.append(host)
-                    outlines_.append(shape)
-                    own.append(at)
-                    numbers.append(number)
-            yield pa.record_batch(
-                [pa.array(hosts, pa.string()), pa.array(outlines_, pa.string()), pa.array(own, pa.int32()),
-                 pa.array(numbers, pa.int32())], ["host", "shape", "place", "number"])
-
-    aligned = shapes.join(wrappers, "host").select("host", "shape", "wrapper").mapInArrow(
-        align, "host string, shape string, place int, number int")
-    texts = outlines.select("host", "shape", "whole", F.explode("places").alias("p")).groupBy("host", "shape", "p.place").agg(
-        F.min("p.lo").alias("lo"), F.max("p.hi").alias("hi"), F.count("*").alias("n"),
-        F.min("whole").alias("w_lo"), F.max("whole").alias("w_hi"))
-    by_place = texts.join(aligned, ["host", "shape", "place"]).groupBy("host", "number").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.min("w_lo").alias("w_lo"), F.max("w_hi").alias("w_hi"))
-    constant = by_place.filter((F.col("lo") == F.col("hi")) & (F.col("n") >= min_pages) & (F.col("w_lo") != F.col("w_hi")))
-    template = constant.groupBy("host").agg(F.sort_array(F.collect_list("number")).alias("template"))
-    counts = outlines.groupBy("host").agg(F.count("*").alias("pages"))
-    return materialize(wrappers.join(template, "host", "left").join(counts, "host"))
+    wrappers = _folded_by_host(_folded_by_host(salted, "salt")).withColumnRenamed("shape", "wrapper")
+    wrappers = materialize(wrappers.join(outlines.groupBy("host").agg(F.count("*").alias("pages")), "host"))
+    once = outlines.groupBy("host", "whole").agg(F.min(F.struct("shape", "places", "texts")).alias("page")).select("host", "page.*")
+    counts = _aligned(join_groups(once, wrappers, ["host"], "pages")).groupBy("host", "number", "text").agg(F.count("*").alias("n"))
+    # what too few pages hold is no template, and neither is any text of a place that too few pages have
+    counts = materialize(counts.filter(F.col("n") >= min_pages))
+    held = counts.filter("text IS NULL").select("host", "number", F.col("n").alias("held"))
+    constant = counts.filter("text IS NOT NULL").join(held, ["host", "number"]).filter(F.col("n") >= F.col("held") * share)
+    template = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("number", "text"))).alias("template"))
+    return materialize(wrappers.join(template, "host", "left"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -460,7 +475,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 
     The host comes from the url; wrappers are induced over all its pages, and a page's
     blocks are kept unless they are around the article (by element, class, id or
-    role) or in a place that its host's wrapper has found constant.  White space within a block is
+    role) or a text that most pages of the host have in the same place of its wrapper.  White space within a block is
     one space, blocks are joined by line feeds, character references are decoded.
 
     Null html is the empty page with an empty text.  Pages without a host share one
@@ -477,7 +492,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
             for at in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(at, _ROWS)
                 texts = [
-                    main_text(html.as_py(), wrapper.as_py(), set(template.as_py() or ()))
+                    main_text(html.as_py(), wrapper.as_py(), {(t["number"], t["text"]) for t in template.as_py() or ()})
                     for html, wrapper, template in zip(part.column(2), part.column(3), part.column(4))
                 ]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])

@@ -333,6 +333,20 @@ def test_around_the_article(spark):
     assert wrappers.extract(frame.limit(0)).collect() == []
 
 
+def test_lists_and_runs_shared_by_most_pages_are_template(spark):
+    def body(i):
+        return (f"<div><ul><li>Home<li>About<li>Shop</ul></div><div><h2>Story {i}</h2><p>Text {i}<p>{'Same' if i < 4 else 'Other'} words<ul><li>Point {i}</ul></div>"
+                f"<div><p>We use small files.<p>They stay for a day.</div><div><p>{'Closed today' if i == 3 else 'Open daily'}<p>Every street 1</div>")
+    pages = [(i, "http://h.example/", _page(i, body(i))) for i in range(8)] + [(8 + i, "http://h.example/0", _page(0, body(0))) for i in range(9)]
+    # pages of equal content count once
+    pages += [(20 + i, "http://few.example/", _page(0, f"<ul><li>Home</ul><p>Page {i % 4}")) for i in range(12)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(17):
+        n = i if i < 8 else 0
+        assert got[i] == f"Story {n}\nText {n}\n{'Same' if n < 4 else 'Other'} words\nPoint {n}" + ("\nClosed today" if n == 3 else "")
+    assert all(got[20 + i] == f"Home\nPage {i % 4}" for i in range(12))
+
+
 @pytest.mark.parametrize("html, want", [
     ("<body class='page has-sidebar'><div class='ad-free layout'><p>one</div></body>", "one"),
     ("<body class=search id=comments><article class='share ad' role=search><p>one</article></body>", "one"),
