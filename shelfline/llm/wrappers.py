@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
@@ -19,7 +20,6 @@ from shelfline.session import materialize
 MIN_PAGES = 5
 # The share of the host's pages with its place that a template text stands on.
 SHARE = 0.5
-MAX_DEPTH = 200
 _ROWS = 256
 _SALTS = 256
 
@@ -55,23 +55,48 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _PLAIN = re.compile(r"[^a-z0-9:-]")
 _ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
+class Shape:
+    """An element without its texts: label and children, each run of repeated siblings as one.
+
+    Pages may be nested to any depth, so shapes are built from the leaves up, and
+    compared by a 128-bit digest in place of a walk.
+    """
+
+    __slots__ = ("label", "children", "count", "digest")
+
+    def __init__(self, label: str, children: tuple[Shape, ...] = ()):
+        self.label, self.children = label, children
+        self.count = 1 + sum([child.count for child in children])
+        self.digest = xxhash.xxh3_128_digest(b"".join([label.encode(), b"(", *[child.digest for child in children]]))
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Shape) and self.digest == other.digest
+
+    def __hash__(self) -> int:
+        return hash(self.digest)
+
+
 @dataclass
 class Node:
     """An element of the page, with its pieces of text and its child elements in order.
 
-    ``around`` is said by its element name, ``marked`` by its class, id or role.
+    ``around`` is said by its element name, ``marked`` by its class, id or role;
+    ``heading`` is set on a header that holds a heading.
     """
 
     label: str
     around: bool
     main: bool
     marked: bool = False
+    heading: bool = False
     items: list = field(default_factory=list)
     runs: list = field(default_factory=list)
+    shape: Shape | None = None
 
 
 def _names(attrs: str) -> tuple[list[str], set[str], bool]:
@@ -124,6 +149,19 @@ def parse(html: str) -> Node:
     """
     root = Node("html", False, False)
     stack = [("html", root)]
+    # where the elements of each name, the scopes and the marked elements stand in the stack, below the root
+    opened: dict[str, list[int]] = {}
+    scopes, marks = [], []
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            tag, node = stack.pop()
+            opened[tag].pop()
+            if tag in SCOPES:
+                scopes.pop()
+            if node.marked:
+                marks.pop()
+
     at, held = 0, False
     while True:
         found = _TOKEN.search(html, at)
@@ -144,10 +182,8 @@ def parse(html: str) -> Node:
                 top.append(" ")
             continue
         if found["end"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            if opened.get(tag):
+                close(opened[tag][-1])
             continue
         if tag in RAW:
             end = _ENDS[tag].search(html, at)
@@ -156,110 +192,187 @@ def parse(html: str) -> Node:
                 at = end.end() if end else len(html)
                 top.append(" ")
                 continue
-        for depth in range(len(stack) - 1, 0, -1):
-            name = stack[depth][0]
-            if name in CLOSES.get(tag, ()) or name == "p":
-                del stack[depth:]
-            elif name in SCOPES:
-                break
+        scope = scopes[-1] if scopes else 0
+        for name in (*CLOSES.get(tag, ()), "p"):
+            places = opened.get(name)
+            if places and places[-1] > scope:
+                close(places[bisect_right(places, scope)])
         attrs = found["attrs"] or ""
         words, tokens, main = _names(attrs)
         main |= tag in MAIN
         marked = not main and tag not in ("html", "body") and not tokens.isdisjoint(AROUND)
         node = Node(".".join([_PLAIN.sub("", tag), *sorted(set(words))]), tag in DROPPED, main, marked)
-        held = held or main and any(open_.marked for _, open_ in stack)
+        held = held or main and bool(marks)
         stack[-1][1].items.append(node)
-        # deeper elements only separate blocks, so no page is too deep to walk
-        if tag not in VOID and not attrs.endswith("/") and len(stack) < MAX_DEPTH:
-            stack.append((tag, node))
+        if tag in _HEADINGS:
+            for depth in reversed(opened.get("header", ())):
+                if stack[depth][1].heading:
+                    break
+                stack[depth][1].heading = True
         if tag == "body":
-            stack[1:] = [("body", node)]
+            close(1)
+        if tag == "body" or tag not in VOID and not attrs.endswith("/"):
+            opened.setdefault(tag, []).append(len(stack))
+            if tag in SCOPES:
+                scopes.append(len(stack))
+            if marked:
+                marks.append(len(stack))
+            stack.append((tag, node))
 
 
-# A shape is (label, children): the elements only, each run of repeated siblings as one.
-Shape = tuple
+# Scores of pairs of subtrees are kept from this size on: of small ones there are many, and they are soon found again.
+_KEPT = 32
 
 
-def matching(left: Shape, right: Shape) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching: most pairs of equal elements in order, and which children pair."""
-    if left[0] != right[0]:
-        return 0, []
-    a, b = left[1], right[1]
-    if [x[0] for x in a] == [y[0] for y in b]:
-        # alike in a row: the diagonal is the best there is
-        return 1 + sum(matching(x, y)[0] for x, y in zip(a, b)), [(i, i) for i in range(len(a))]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a, 1):
-        for j, y in enumerate(b, 1):
-            both = best[i - 1][j - 1] + matching(x, y)[0] if x[0] == y[0] else 0
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], both)
-    pairs, i, j = [], len(a), len(b)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    return 1 + best[-1][-1], pairs[::-1]
+def _run(steps: Generator):
+    """The result of a recursive function written as a generator that yields its calls, at any depth."""
+    stack, value = [steps], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
 
 
-def merged(left: Shape, right: Shape) -> Shape:
-    """Both shapes as one: matched children become one, others stand in order."""
+def _known(left: Shape, right: Shape, scores: dict) -> int | None:
+    """The score of a pair, where it needs no search."""
+    if left.label != right.label:
+        return 0
+    if not left.children or not right.children:
+        return 1
     if left == right:
-        return left
-    pairs = matching(left, right)[1]
-    out, i, j = [], 0, 0
-    for p, q in [*pairs, (len(left[1]), len(right[1]))]:
-        out += [*left[1][i:p], *right[1][j:q]]
-        if p < len(left[1]):
-            out.append(merged(left[1][p], right[1][q]))
-        i, j = p + 1, q + 1
-    return left[0], tuple(_folded(out))
+        return left.count
+    return scores.get((left.digest, right.digest))
 
 
-def _repeats(left: Shape, right: Shape) -> bool:
-    """Whether neighbours are one repeated element: alike, or items of one list or running text."""
-    return left == right or left[0] == right[0] and left[0].split(".")[0] in ITEMS
+def _scoring(left: Shape, right: Shape, scores: dict) -> Generator:
+    score, _ = yield _pairing(left, right, scores, False)
+    return score
+
+
+def _pairing(left: Shape, right: Shape, scores: dict, pairs_too: bool = True) -> Generator:
+    if left.label != right.label:
+        return 0, []
+    a, b = left.children, right.children
+    if left == right:
+        return left.count, [(i, i) for i in range(len(a))]
+    if [x.label for x in a] == [y.label for y in b]:
+        # alike in a row: the diagonal is the best there is
+        total = 1
+        for x, y in zip(a, b):
+            both = _known(x, y, scores)
+            total += (yield _scoring(x, y, scores)) if both is None else both
+        pairs = [(i, i) for i in range(len(a))]
+    else:
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a, 1):
+            for j, y in enumerate(b, 1):
+                both = 0
+                if x.label == y.label:
+                    both = _known(x, y, scores)
+                    both = best[i - 1][j - 1] + ((yield _scoring(x, y, scores)) if both is None else both)
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], both)
+        total, pairs, i, j = 1 + best[-1][-1], [], len(a), len(b)
+        while pairs_too and i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((i, j))
+        pairs.reverse()
+    if min(left.count, right.count) >= _KEPT:
+        scores[left.digest, right.digest] = total
+    return total, pairs
+
+
+def matching(left: Shape, right: Shape, scores: dict | None = None) -> tuple[int, list[tuple[int, int]]]:
+    """Simple tree matching: most pairs of equal elements in order, and which children pair."""
+    return _run(_pairing(left, right, {} if scores is None else scores))
 
 
-def _folded(children: list[Shape]) -> list[Shape]:
+def _merging(left: Shape, right: Shape, scores: dict) -> Generator:
+    if left == right:
+        return left
+    _, pairs = yield _pairing(left, right, scores)
+    a, b = left.children, right.children
+    children, i, j = [], 0, 0
+    for p, q in [*pairs, (len(a), len(b))]:
+        children += [*a[i:p], *b[j:q]]
+        if p < len(a):
+            children.append(a[p] if a[p] == b[q] else (yield _merging(a[p], b[q], scores)))
+        i, j = p + 1, q + 1
     out: list[Shape] = []
     for child in children:
         if out and _repeats(out[-1], child):
-            out[-1] = merged(out[-1], child)
+            if out[-1] != child:
+                out[-1] = yield _merging(out[-1], child, scores)
         else:
             out.append(child)
-    return out
+    return Shape(left.label, tuple(out))
 
 
-def shape_of(node: Node) -> Shape:
-    """The shape of an element; its runs of repeated child elements stay with it."""
-    for item in node.items:
-        if isinstance(item, Node):
-            shape = shape_of(item)
-            if node.runs and _repeats(node.runs[-1][0], shape):
-                node.runs[-1] = (merged(node.runs[-1][0], shape), [*node.runs[-1][1], item])
-            else:
-                node.runs.append((shape, [item]))
-    return node.label, tuple(shape for shape, _ in node.runs)
+def merged(left: Shape, right: Shape, scores: dict | None = None) -> Shape:
+    """Both shapes as one: matched children become one, others stand in order."""
+    return _run(_merging(left, right, {} if scores is None else scores))
+
+
+def _repeats(left: Shape, right: Shape) -> bool:
+    """Whether neighbours are one repeated element: alike, or items of one list or running text."""
+    return left == right or left.label == right.label and left.label.split(".")[0] in ITEMS
+
 
+def shape_of(root: Node) -> Shape:
+    """The shape of the page; the runs of repeated child elements stay with each element."""
+    order, scores = [root], {}
+    for node in order:  # grows while it is read: parents come first
+        order += [item for item in node.items if isinstance(item, Node)]
+    for node in reversed(order):
+        runs: list[tuple[Shape, list[Node]]] = []
+        for item in node.items:
+            if isinstance(item, Node):
+                if runs and _repeats(runs[-1][0], item.shape):
+                    runs[-1][1].append(item)
+                    if runs[-1][0] != item.shape:
+                        runs[-1] = (merged(runs[-1][0], item.shape, scores), runs[-1][1])
+                else:
+                    runs.append((item.shape, [item]))
+        node.runs, node.shape = runs, Shape(node.label, tuple([shape for shape, _ in runs]))
+    return root.shape
 
-def place(node: Node, shape: Shape, number: int, places: dict[int, int]) -> None:
-    """Numbers each element by the preorder place in ``shape``, the shape of the whole page, that it falls into."""
-    places[id(node)] = number
-    own = (node.label, tuple(run for run, _ in node.runs))
-    pairs = {j: i for i, j in matching(own, shape)[1]}
-    number += 1
-    for j, child in enumerate(shape[1]):
-        for element in node.runs[pairs[j]][1] if j in pairs else ():
-            place(element, child, number, places)
-        number += _count(child)
+
+def place(root: Node, whole: Shape, first: int, places: dict[int, int]) -> None:
+    """Numbers each element by the preorder place in ``whole``, the shape of the page, that it falls into."""
+    todo, scores = [(root, whole, first)], {}
+    while todo:
+        node, shape, number = todo.pop()
+        places[id(node)] = number
+        pairs = {j: i for i, j in matching(node.shape, shape, scores)[1]}
+        number += 1
+        for j, child in enumerate(shape.children):
+            if j in pairs:
+                todo += [(element, child, number) for element in node.runs[pairs[j]][1]]
+            number += child.count
 
 
 def written(shape: Shape) -> str:
-    return shape[0] + ("(" + ",".join(map(written, shape[1])) + ")" if shape[1] else "")
+    parts, todo = [], [shape]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, str):
+            parts.append(item)
+            continue
+        parts.append(item.label)
+        if item.children:
+            todo.append(")")
+            for child in reversed(item.children):
+                todo += [child, ","]
+            todo[-1] = "("
+    return "".join(parts)
 
 
 @lru_cache(maxsize=4096)
@@ -272,36 +385,34 @@ def read(text: str) -> Shape:
             label = ""
         elif token in ",)":
             if label:
-                nodes[-1][1].append((label, ()))
+                nodes[-1][1].append(Shape(label))
                 label = ""
             if token == ")":
                 name, children = nodes.pop()
-                nodes[-1][1].append((name, tuple(children)))
+                nodes[-1][1].append(Shape(name, tuple(children)))
         else:
             label = token
     if label:
-        nodes[-1][1].append((label, ()))
+        nodes[-1][1].append(Shape(label))
     return nodes[0][1][0]
 
 
-def numbered(shape: Shape, wrapper: Shape, places: dict[int, int], at: int = 0, to: int = 0) -> None:
-    """Maps the preorder numbers of ``shape`` to those of the wrapper's elements that they match."""
-    pairs = dict(matching(shape, wrapper)[1])
-    places[at] = to
-    starts, to = [], to + 1
-    for child in wrapper[1]:
-        starts.append(to)
-        to += _count(child)
-    at += 1
-    for i, child in enumerate(shape[1]):
-        if i in pairs:
-            numbered(child, wrapper[1][pairs[i]], places, at, starts[pairs[i]])
-        at += _count(child)
-
-
-@lru_cache(maxsize=4096)
-def _count(shape: Shape) -> int:
-    return 1 + sum(map(_count, shape[1]))
+def numbered(whole: Shape, wrapper: Shape, places: dict[int, int]) -> None:
+    """Maps the preorder numbers of ``whole`` to those of the wrapper's elements that they match."""
+    todo, scores = [(whole, wrapper, 0, 0)], {}
+    while todo:
+        shape, other, at, to = todo.pop()
+        pairs = dict(matching(shape, other, scores)[1])
+        places[at] = to
+        starts, to = [], to + 1
+        for child in other.children:
+            starts.append(to)
+            to += child.count
+        at += 1
+        for i, child in enumerate(shape.children):
+            if i in pairs:
+                todo.append((child, other.children[pairs[i]], at, starts[pairs[i]]))
+            at += child.count
 
 
 @lru_cache(maxsize=4096)
@@ -317,26 +428,27 @@ def _tidy(parts: list[str]) -> str:
 
 def blocks(root: Node) -> Iterator[tuple[Node, str, bool, bool]]:
     """(element, text, around, in main) of each run of text between block boundaries, in page order."""
-    def walk(node: Node, around: bool, main: bool) -> Iterator:
-        around |= (node.around or node.marked) and not (main and node.label.split(".")[0] == "header" and _has_heading(node))
-        main |= node.main and not around
-        run: list[str] = []
-        for item in node.items:
-            if isinstance(item, str):
-                run.append(item)
-                continue
-            if run and (text := _tidy(run)):
-                yield node, text, around, main
-            run = []
-            yield from walk(item, around, main)
+    def entered(node: Node, around: bool, main: bool) -> tuple:
+        around |= (node.around or node.marked) and not (main and node.heading)
+        return node, iter(node.items), around, main or node.main and not around
+
+    stack = [entered(root, False, False)]
+    run: list[str] = []
+    while stack:
+        node, items, around, main = stack[-1]
+        child = None
+        for item in items:
+            if not isinstance(item, str):
+                child = item
+                break
+            run.append(item)
         if run and (text := _tidy(run)):
             yield node, text, around, main
-
-    return walk(root, False, False)
-
-
-def _has_heading(node: Node) -> bool:
-    return any(isinstance(c, Node) and (re.match(r"h[1-6]\b", c.label) or _has_heading(c)) for c in node.items)
+        run = []
+        if child is None:
+            stack.pop()
+        else:
+            stack.append(entered(child, around, main))
 
 
 def _in_main(found: list[tuple[Node, str, bool, bool]]) -> list[tuple[Node, str, bool, bool]]:

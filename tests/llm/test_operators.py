@@ -362,6 +362,16 @@ def test_names_mark_whole_tokens_and_never_the_article(html, want):
     assert wrappers.main_text(html, None, set()) == want
 
 
+@pytest.mark.parametrize("depth", [150, 250, 5000])
+def test_any_depth_keeps_the_article_and_what_is_around(spark, depth):
+    def page(i):
+        return _page(i, f"<article><p>Start {i}{'<div>' * depth}<p>Deep {i}<div class=ad>buy</div><nav>menu</nav><p>We say this always{'</div>' * depth}<p>End {i}</article>"
+                        f"<div>{'<center>' * depth}out")
+    pages = [(i, "http://h/", page(i)) for i in range(6)] + [(6, "http://h/", page(6).replace("</div><p>End", "<p>more</div><p>End"))]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Start {i}\nDeep {i}\n" + ("more\n" if i == 6 else "") + f"End {i}" for i in range(7)}
+
+
 def test_shapes_fold_in_order_across_batches(spark):
     shapes = sorted(f"d(h1,{'p,' * (i % 3)}x{i})" for i in range(300))
     rows = [(host, shape) for host in ("a", "b") for shape in (shapes if host == "a" else shapes[:2])]
