@@ -152,6 +152,8 @@ def parse(html: str) -> Node:
     # where the elements of each name, the scopes and the marked elements stand in the stack, below the root
     opened: dict[str, list[int]] = {}
     scopes, marks = [], []
+    # headers that hold the body, which the stack has lost
+    beyond: list[Node] = []
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -209,7 +211,13 @@ def parse(html: str) -> Node:
                 if stack[depth][1].heading:
                     break
                 stack[depth][1].heading = True
+            if len(stack) > 1 and stack[1][0] == "body":
+                for header in beyond:
+                    header.heading = True
+                beyond.clear()
         if tag == "body":
+            held = held or bool(marks)
+            beyond += [stack[depth][1] for depth in opened.get("header", ())]
             close(1)
         if tag == "body" or tag not in VOID and not attrs.endswith("/"):
             opened.setdefault(tag, []).append(len(stack))

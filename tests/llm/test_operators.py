@@ -356,6 +356,7 @@ def test_lists_and_runs_shared_by_most_pages_are_template(spark):
      "one is the longer text"),
     ("<main><p>one is the longer text</p><div class='related'><article>teaser</article></div></main>", "one is the longer text"),
     ("<main>by<div class='comments'><article>one is the longer text</article></div></main>", "by\none is the longer text"),
+    ("<div class='sidebar'>side<body><article>one</article>", "one"),
     ("<div class='Sidebar'>side</div><div role=main class=menu>one</div>", "one"),
 ])
 def test_names_mark_whole_tokens_and_never_the_article(html, want):
