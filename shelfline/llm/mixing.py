@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.ordering import with_position
 from shelfline.llm.common import WORD, prefix_sums
@@ -55,32 +55,43 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3
     A null text has size 0, a null source is a source of its own, rows that
     repeat count each, and rows with a null doc_id come last among equal sizes.
     """
-    sizes = docs.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    rows = _decided(docs.select("doc_id", "source", _size("text")), weights, max_repeat, seed)
+    return rows.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies"
     )
+
+
+def _size(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+
+
+def _decided(
+    sizes: DataFrame, weights: Sequence[int], max_repeat: int, seed: int, ties: Sequence[str] = ()
+) -> DataFrame:
+    """The rows (doc_id, source, size) with what ``mix`` decides on each; ``ties`` order those of equal size and id."""
     sizes = materialize(sizes)
     targets = source_targets(sizes, weights, max_repeat)
-    placed = with_position(
-        sizes, [F.col("size"), F.col("doc_id").isNull(), F.col("doc_id")], by=["source"], name="_place"
-    )
+    order = [F.col("size"), F.col("doc_id").isNull(), F.col("doc_id"), *[F.col(c) for c in ties]]
+    placed = with_position(sizes, order, by=["source"], name="_place")
     rows = placed.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
     offset = F.conv(F.substring(F.sha2(name, 256), 1, 12), 16, 10).cast("double") / float(1 << 48)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.withColumns({"_offset": offset, "_rate": rate})
     crossed = F.floor(F.expr("_rate * (_place + 1) + _offset")) - F.floor(F.expr("_rate * _place + _offset"))
-    rows = rows.withColumn("copies", F.least(crossed, F.lit(max_repeat)))
-    return rows.select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies"
-    )
+    return rows.withColumn("copies", F.least(crossed, F.lit(max_repeat)))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3, seed: int = 17
+) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it.
 
-    The decision is made per doc_id: rows that share one are taken as their first row is.
+    The decision is made per row, whatever ids are null or shared: rows are written once with a number, by which
+    the copies meet them.  Among rows of one source, size and id it goes by a hash of the text.
     """
-    taken = mix(docs, **options).filter("copies > 0")
-    taken = taken.groupBy("doc_id").agg(F.max("copies").cast("int").alias("copies"))
-    rows = docs.select(F.struct("*").alias("row")).join(taken, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
-    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    rows = materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_row")))
+    sizes = rows.select("row.doc_id", "row.source", _size("row.text"), F.xxhash64("row.text").alias("_text"), "_row")
+    taken = _decided(sizes, weights, max_repeat, seed, ties=["_text", "_row"]).filter("copies > 0")
+    kept = rows.join(taken.select("_row", F.col("copies").cast("int").alias("copies")), "_row")
+    return kept.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

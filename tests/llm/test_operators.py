@@ -60,6 +60,22 @@ def test_mix_odd_rows(clashing, odd):
     assert mixed.columns == odd.columns
 
 
+def test_mixed_rows_without_or_with_shared_ids_meet_their_targets(spark, make):
+    rng = random.Random(3)
+    ids = {"a": lambda i: None if i % 3 else 5, "b": lambda i: (None, 5, 1000 + i)[i % 3], "c": lambda i: 5}
+    rows = [(ids[s](i), f"{s}{i} " + "w " * rng.randint(0, 9), s) for s, n in (("a", 60), ("b", 300), ("c", 120)) for i in range(n)]
+    docs = make(rows)
+    mixed = [r.text for r in mixing.mixed_documents(docs).collect()]
+    wanted = mixing.mix(docs).groupBy("source").agg(F.first("target").alias("target"), F.sum("copies").alias("n"), F.max("size").alias("most")).collect()
+    assert len(wanted) == 3
+    for r in wanted:
+        own = [t for t in mixed if t[0] == r.source]
+        assert len(own) == r.n
+        assert abs(sum(len(t.split()) for t in own) - r.target) <= r.most
+    assert max(mixed.count(t) for t in set(mixed)) <= 3
+    assert sorted(mixed) == sorted(r.text for r in mixing.mixed_documents(docs.repartition(3)).collect())
+
+
 # repeated strings
 
 @pytest.mark.parametrize("depth", [20, 26, 62, 200])
