@@ -127,16 +127,17 @@ BAND_LEVELS = sorted(
 )
 
 
-def encode_features(df: DataFrame, levels: Sequence[str] = BAND_LEVELS) -> DataFrame:
+def encode_features(df: DataFrame, levels: Sequence[str] = BAND_LEVELS, keep: Sequence[str] = ()) -> DataFrame:
     """Model input: one 0/1 column per band but the first level, no ids, dates or text.
 
     The level list is fixed, so the columns do not depend on which bands occur.
+    ``keep`` names columns that stay before them as they are.
     """
     if "volatility_band" in df.columns:
         df = df.withColumns({
             f"volatility_band_{level}": (F.col("volatility_band") == level).cast("int") for level in list(levels)[1:]
         })
-    return df.select(*numeric_columns(df.drop(*SERIES)))
+    return df.select(*keep, *numeric_columns(df.drop(*SERIES, *keep)))
 
 
 # Columns that hold the target or are computed from its current value.

@@ -987,21 +987,20 @@ def _(spark, folder):
     return modeling.best_model(_naive_metrics(spark, folder))
 
 
-_MODEL_INPUT = ["lag_1d", "lag_7d", "rolling_7d_mean", "rolling_30d_mean", "price_ratio", "is_promotion", "is_holiday"]
-
-
-def _trained(spark, folder):
-    rows = _features(spark, folder).fillna(0, _MODEL_INPUT)
-    rows = materialize(rows.select("sale_date", "store_id", "product_id", "units_sold", *_MODEL_INPUT))
+def _trained(spark, folder, *names):
+    """The named default models (all unless given) as ``run_training`` fits them: (fitted, metrics, test rows, inputs)."""
+    keys, target = ["sale_date", "store_id", "product_id"], "units_sold"
+    rows = materialize(frame.encode_features(_frame_features(spark, folder), keep=keys))
+    inputs = [c for c in rows.columns if c not in (*keys, target, *frame.LEAKING)]
     train, test = modeling.date_split(rows)
-    models = {"boosted_trees": modeling.boosted_trees(trees=10, depth=4), "linear": modeling.linear_model()}
-    fitted, metrics = modeling.train_models(train, test, _MODEL_INPUT, models=models)
-    return fitted, metrics, test
+    models = {name: model for name, model in modeling.default_models(target).items() if not names or name in names}
+    fitted, metrics = modeling.train_models(train, test, inputs, target, models)
+    return fitted, metrics, test, inputs
 
 
 @register("gbt_forecast", _KEY + "units_sold:d prediction:d")
 def _(spark, folder):
-    fitted, _, test = _trained(spark, folder)
+    fitted, _, test, _ = _trained(spark, folder, "boosted_trees")
     return fitted["boosted_trees"].transform(test)
 
 
@@ -1012,8 +1011,8 @@ def _(spark, folder):
 
 @register("feature_importance", "feature importance:d")
 def _(spark, folder):
-    fitted, _, _ = _trained(spark, folder)
-    return modeling.feature_importance(fitted["boosted_trees"], _MODEL_INPUT)
+    fitted, _, _, inputs = _trained(spark, folder, "boosted_trees")
+    return modeling.feature_importance(fitted["boosted_trees"], inputs)
 
 
 # Streams
