@@ -9,13 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm import (
-    byte_bpe, exact_dedup, mixing, near_dup, quality, secrets, suffix_dedup, token_counts, warc, wrappers,
+    byte_bpe, exact_dedup, mixing, near_dup, quality, secrets, stream_bpe, suffix_dedup, token_counts, warc,
+    wrappers,
 )
 from shelfline.llm.common import table
 from shelfline.session import materialize
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
+MERGE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 TOKEN_LIMIT = 4096
 
@@ -82,10 +84,19 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model).drop("text")
 
 
+def op11_stream_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    tokens = stream_bpe.decode(stream_bpe.encode(docs, MERGE_FILE).drop("text"), MERGE_FILE)
+    return tokens.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_mixing, op2_suffix_dedup, op3_byte_bpe, op4_exact_dedup, op5_secret_scan, op6_near_dup, op7_warc,
-        op8_html_extraction, op9_token_counts, op10_quality_rules,
+        op8_html_extraction, op9_token_counts, op10_quality_rules, op11_stream_bpe,
     )
 }
 
