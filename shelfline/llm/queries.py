@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm import (
-    byte_bpe, exact_dedup, mixing, near_dup, quality, secrets, stream_bpe, suffix_dedup, token_counts, warc,
-    wrappers,
+    byte_bpe, exact_dedup, lexical, mixing, near_dup, quality, secrets, spelling, stream_bpe, suffix_dedup, token_counts,
+    warc, wrappers,
 )
 from shelfline.llm.common import table
 from shelfline.session import materialize
@@ -93,10 +93,19 @@ def op11_stream_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_mixing, op2_suffix_dedup, op3_byte_bpe, op4_exact_dedup, op5_secret_scan, op6_near_dup, op7_warc,
         op8_html_extraction, op9_token_counts, op10_quality_rules, op11_stream_bpe,
+        op12_lexical_search, op13_spelling_variants,
     )
 }
 
@@ -183,4 +192,54 @@ WITH payloads AS (
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN place > 1 THEN first_id END AS refers_to
 FROM placed""",
+    "op12_lexical_search": r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), found AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM texts
+), tf AS (SELECT r, doc_id, n, t, count(*) AS tf FROM found GROUP BY ALL
+), df AS (SELECT t, count(*) AS df FROM tf GROUP BY t
+), total AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM texts
+), asked AS (
+  SELECT DISTINCT i, item_id, t FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark)
+), scored AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+           * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN df USING (t) JOIN tf USING (t), total GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), told AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, 1 + octet_length(encode(doc_id || ':' || run))),
+      lambda i: CAST('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * i - 1, 2) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+  FROM told
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY ALL HAVING length(word) >= 6 AND sum(n) >= 5
+), cuts AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS k, left(word, k - 1) || substr(word, k + 1) AS rest FROM words
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-n, encode(near))) AS form, max(n) AS form_n FROM pairs GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, COALESCE(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), walk AS (
+  SELECT word, word AS at, form AS ahead FROM formed
+  UNION ALL SELECT k.word, f.word, f.form FROM walk k JOIN formed f ON f.word = k.ahead
+)
+SELECT f.word, f.form, k.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN walk k ON k.word = f.word AND k.ahead IS NULL""",
 }

@@ -1,7 +1,9 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -77,3 +79,61 @@ def near_groups(rows, n, percent):
                 x, y = sorted((root(a), root(b)))
                 name[y] = x
     return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def ranked(docs, items, top):
+    """[(item_id, rank, doc_id, score)] of (id, text) rows on both sides."""
+    terms = [(i, Counter(TERM.findall((t or "").translate(LOWER)))) for i, t in docs]
+    terms = [(i, c) for i, c in terms if c]
+    count, words = len(terms), sum(sum(c.values()) for _, c in terms)
+    df = Counter(t for _, c in terms for t in c)
+    out = []
+    for item, text in items:
+        wanted = set(TERM.findall((text or "").translate(LOWER)))
+        scores = []
+        for i, c in terms:
+            m = 50 + 50 * sum(c.values()) * count // words
+            score = sum(math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m))
+                        for t in wanted if t in c)
+            if score > 0:
+                scores.append((-score, i is None, i or 0, i))
+        scores.sort(key=lambda s: s[:3])
+        out += [(item, k + 1, s[3], -s[0]) for k, s in enumerate(scores[:top])]
+    return out
+
+
+def spellings(docs, min_length=6, min_times=5, rate=199, ratio=5):
+    """{word: (form, root, n, n_near, form_n)}"""
+    found = Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            found[run[:h % len(run)] + run[h % len(run) + 1:] if h % rate == 0 else run] += 1
+    words = {w: n for w, n in found.items() if len(w) >= min_length and n >= min_times}
+    forms, near = {}, Counter()
+
+    def close(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) == len(a) + 1 and any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+    for w, n in words.items():
+        others = [o for o in words if abs(len(o) - len(w)) <= 1 and close(w, o)]
+        near[w] = len(others)
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        if best and words[best] >= ratio * n:
+            forms[w] = best
+    out = {}
+    for w, n in words.items():
+        root = w
+        while root in forms:
+            root = forms[root]
+        out[w] = (forms.get(w), root, n, near[w], words[forms[w]] if w in forms else None)
+    return out
