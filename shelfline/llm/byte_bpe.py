@@ -17,12 +17,16 @@ from shelfline.llm.common import schema_with
 # Code points of a long text that are encoded at once.
 PIECE_CHARS = 1 << 16
 _ROWS = 256
-# Cut in front of a space between two letters or digits: the space begins a match, and no match ends behind it
-# without beginning there, since only white space and runs of one class follow a match's first character.
-_SAFE = regex.compile(r"[\p{L}\p{N}](?= [\p{L}\p{N}])")
+# A cut behind these is the end of a match and the beginning of another: a visible character and white space, and
+# ASCII characters of two classes, but for an apostrophe, which may begin a contraction.
+_SAFE = regex.compile(r"\S(?=\s)|[A-Za-z](?=[!-/0-9:-@\[-`{-~])|[0-9](?=[!-/:-~])|[!-&(-/:-@\[-`{-~](?=[A-Za-z0-9])")
+# White space of this length is taken out of the text, since the library's pattern steps back through it.
+LONG_SPACE = 1 << 14
+_LONG = regex.compile(rf"\s{{{LONG_SPACE},}}")
+_ANY = r"(?s:.+)"
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def load_encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
     """An encoding from lines of base64 token and rank, without special tokens."""
     with open(rank_file, "rb") as lines:
@@ -31,7 +35,10 @@ def load_encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
 
 
 def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
-    """The text cut at the first safe boundary after each ``limit`` code points; the rest stays whole without one."""
+    """The text cut at the first safe boundary after each ``limit`` code points.
+
+    Without one the rest is a run of letters, digits or signs, most of which is one match.
+    """
     at = 0
     while len(text) - at > limit:
         found = _SAFE.search(text, at + limit)
@@ -42,16 +49,36 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
-def encode_text(encoding: tiktoken.Encoding, text: str) -> bytes:
-    """The ids as little-endian unsigned 32-bit integers."""
-    return b"".join(np.asarray(encoding.encode_ordinary(p), "<u4").tobytes() for p in pieces(text))
+def parts(text: str) -> Iterator[tuple[str, bool]]:
+    """The text in order, and whether a part is one match of white space.
+
+    Of a long run of white space in front of something visible all but the last character is one match; at the end of
+    a text all of it is.
+    """
+    at = 0
+    for found in _LONG.finditer(text):
+        yield text[at:found.start()], False
+        at = found.end() - (found.end() < len(text))
+        yield text[found.start():at], True
+    yield text[at:], False
+
+
+def encode_text(encoding: tiktoken.Encoding, text: str, whole: tiktoken.Encoding) -> bytes:
+    """The ids as little-endian unsigned 32-bit integers; ``whole`` has the same ranks and no pattern."""
+    out = []
+    for part, one_match in parts(text):
+        if one_match:
+            out.append(np.asarray(whole.encode_ordinary(part), "<u4").tobytes())
+        else:
+            out += [np.asarray(encoding.encode_ordinary(p), "<u4").tobytes() for p in pieces(part)]
+    return b"".join(out)
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, into: str = "ids") -> DataFrame:
     """Replaces ``text`` by ``ids``, its token ids as little-endian unsigned 32-bit integers; other columns stay.
 
     Each match of ``pattern`` is encoded by the ranks on its own, whole texts,
-    no special tokens.  Arrow batches are worked in small slices, so a task holds a few
+    no special tokens, of any length and kind.  Arrow batches are worked in small slices, so a task holds a few
     hundred texts.  Null is the empty text and has no ids; rows that repeat are
     encoded each; no rows give no rows.  A column that is already called ``ids`` is an error: pass ``into``.
     """
@@ -60,11 +87,11 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, into: str = "ids") ->
     columns = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = load_encoding(rank_file, pattern)
+        encoding, whole = load_encoding(rank_file, pattern), load_encoding(rank_file, _ANY)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(at, _ROWS)
-                ids = [encode_text(encoding, t.as_py() or "") for t in part.column(len(columns))]
+                ids = [encode_text(encoding, t.as_py() or "", whole) for t in part.column(len(columns))]
                 yield pa.record_batch([*part.columns[:len(columns)], pa.array(ids, pa.binary())], [*columns, into])
 
     out = docs.select(*columns, "text")

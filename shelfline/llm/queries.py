@@ -51,7 +51,9 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    decisions = exact_dedup.deduplicate(table(spark, folder, "documents"), _fresh("digest_index"), batch="first")
+    index = _fresh("digest_index")
+    decisions = exact_dedup.deduplicate(table(spark, folder, "documents"), index, batch="first")
+    exact_dedup.drop_index(spark, index)
     return decisions.drop("n_chars")
 
 
