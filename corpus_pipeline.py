@@ -38,7 +38,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     def key(digest: Column, length: Column) -> Column:
         return F.concat_ws(":", digest, length.cast("string"), F.col("doc_id").cast("string"))
 
-    decisions = exact_dedup.deduplicate(docs, f"pipeline_index_{uuid.uuid4().hex}", batch="pipeline")
+    index = f"pipeline_index_{uuid.uuid4().hex}"
+    decisions = exact_dedup.deduplicate(docs, index, batch="pipeline")
+    exact_dedup.drop_index(spark, index)
     decisions = decisions.withColumn("_key", key(F.col("text_sha256"), F.col("n_chars")))
     own = key(exact_dedup.digest_of(), F.length(text_of()))
     return _kept(docs.withColumn("_key", own), decisions, F.lit(0))
