@@ -17,13 +17,12 @@ from shelfline.session import materialize
 
 # An entry of a signature says that a term occurs at least so often.
 LEVELS = (1, 2, 3, 5, 9, 17)
-HASHES = 4  # bits of an entry
-_WIDTH = 10  # bits of a signature for each entry that its size class allows
+_LEAD = 4  # times as many documents as asked for are scored for an item's floor
 _BLOCK_BYTES, _BLOCK_DOCS = 1 << 18, 1024
 _GROUP_ITEMS, _GROUP_TERMS = 256, 16_384  # of the query set, searched in one pass
 _SLAB = 4096  # terms whose slices are read at once
-_SENT = 100_000  # candidate ids that may be sent to all tasks (8 bytes each, and their items)
-_INDEX = "bits long, n_docs long, n_terms long, doc_ids array<long>, lengths array<long>, slices binary, terms array<binary>, held array<long>"
+_SENT = 400_000  # candidate ids that may be sent to all tasks: 8 bytes each and 4 for each item that wants it
+_INDEX = "bits long, hashes long, n_docs long, n_terms long, doc_ids array<long>, lengths array<long>, slices binary, terms array<binary>, held array<long>"
 _SPLIT = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -37,14 +36,19 @@ def _hashed(terms: Sequence[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, len(terms))
 
 
-def _places(hashes: np.ndarray, level: int, bits: int) -> np.ndarray:
-    """The slices of an entry: (terms, HASHES)."""
+def hashes_for(n_docs: int) -> int:
+    """Bits of an entry: one more for twice the documents, so that those that show a term by chance stay as few."""
+    return max(6, min(20, n_docs.bit_length() - 10))
+
+
+def _places(hashes: np.ndarray, level: int, bits: int, count: int) -> np.ndarray:
+    """The slices of an entry: (terms, count)."""
     h = (hashes + np.uint64(level)) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     first, step = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
-    return ((first[:, None] + np.arange(HASHES, dtype=np.uint64) * step[:, None]) % np.uint64(bits)).astype(np.int64)
+    return ((first[:, None] + np.arange(count, dtype=np.uint64) * step[:, None]) % np.uint64(bits)).astype(np.int64)
 
 
 @dataclass
@@ -52,6 +56,7 @@ class _Block:
     """Documents of one size class, as they come."""
 
     bits: int
+    hashes: int
     doc_ids: list = field(default_factory=list)
     lengths: list = field(default_factory=list)
     entries: list = field(default_factory=list)  # slices of each document's entries
@@ -66,7 +71,7 @@ class _Block:
         signs = np.zeros((self.bits, -(-docs // 8) * 8), bool)
         signs[np.concatenate(self.entries), np.repeat(np.arange(docs), [len(e) for e in self.entries])] = True
         return pa.record_batch({
-            "bits": pa.array([self.bits], pa.int64()), "n_docs": pa.array([docs], pa.int64()),
+            "bits": pa.array([self.bits], pa.int64()), "hashes": pa.array([self.hashes], pa.int64()), "n_docs": pa.array([docs], pa.int64()),
             "n_terms": pa.array([sum(self.lengths)], pa.int64()), "doc_ids": pa.array([self.doc_ids], pa.list_(pa.int64())),
             "lengths": pa.array([self.lengths], pa.list_(pa.int64())),
             "slices": pa.array([np.packbits(signs, axis=1).tobytes()], pa.binary()),
@@ -83,6 +88,9 @@ def build_index(docs: DataFrame) -> DataFrame:
     that document frequencies of any terms are sums over blocks.  Documents without a term are not in
     the index.  A task holds one open block of each size class.
     """
+    count = hashes_for(docs.count())
+    width = -(-8 * count // 3)  # of a signature for each entry that its size class allows: at most a third of the bits are set
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, _Block] = {}
         for batch in batches:
@@ -94,11 +102,11 @@ def build_index(docs: DataFrame) -> DataFrame:
                 times = np.fromiter(counts.values(), np.int64, len(counts))
                 hashes = _hashed(list(counts))
                 levels = [hashes[times >= least] for least in LEVELS]
-                bits = _WIDTH << max(6, (sum(map(len, levels)) - 1).bit_length())
-                block = blocks.get(bits) or blocks.setdefault(bits, _Block(bits))
+                bits = width << max(6, (sum(map(len, levels)) - 1).bit_length())
+                block = blocks.get(bits) or blocks.setdefault(bits, _Block(bits, count))
                 block.doc_ids.append(doc_id.as_py())
                 block.lengths.append(len(words))
-                block.entries.append(np.concatenate([_places(h, k, bits).ravel() for k, h in enumerate(levels) if len(h)]))
+                block.entries.append(np.concatenate([_places(h, k, bits, count).ravel() for k, h in enumerate(levels) if len(h)]))
                 block.held.update(counts.keys())
                 if block.full:
                     yield blocks.pop(bits).row()
@@ -123,7 +131,7 @@ class _Queries:
     def m(self, length: int) -> int:
         return 50 + 50 * length * self.n_docs // self.n_terms
 
-    def bounds(self, bits: int, lengths: np.ndarray, slices: bytes) -> np.ndarray:
+    def bounds(self, bits: int, hashes: int, lengths: np.ndarray, slices: bytes) -> np.ndarray:
         """(items, documents): no document scores above its bound.
 
         A document shows a level of a term if all slices of that entry and of the levels below have its bit.  What is there
@@ -137,13 +145,13 @@ class _Queries:
         worth = [(1_000_000_000 * tf) // (1000 * tf + 20 * m) for tf in most]
         gains = np.array([worth[0], *[b - a for a, b in zip(worth, worth[1:])]], np.float64)
         total = np.zeros((len(self.items), docs))
-        hashes, weights = _hashed(self.terms), np.array(self.weights, np.float64)
+        named, weights = _hashed(self.terms), np.array(self.weights, np.float64)
         for at in range(0, len(self.terms), _SLAB):
-            part = hashes[at:at + _SLAB]
+            part = named[at:at + _SLAB]
             value = np.zeros((len(part), docs))
             alive, shown = np.arange(len(part)), None
             for level in range(len(LEVELS)):
-                there = np.bitwise_and.reduce(signs[_places(part[alive], level, bits)], axis=1)
+                there = np.bitwise_and.reduce(signs[_places(part[alive], level, bits, hashes)], axis=1)
                 shown = there if shown is None else shown & there
                 some = shown.any(axis=1)
                 alive, shown = alive[some], shown[some]
@@ -165,9 +173,12 @@ class _Queries:
 def _blocks(batches: Iterator[pa.RecordBatch], queries: _Queries) -> Iterator[tuple[np.ndarray, pa.Array]]:
     for batch in batches:
         for i in range(batch.num_rows):
-            ids = batch.column(1)[i].values
-            lengths = np.asarray(batch.column(2)[i].values)
-            yield queries.bounds(batch.column(0)[i].as_py(), lengths, batch.column(3)[i].as_py()), ids
+            bits, hashes, slices = (batch.column(k)[i].as_py() for k in (0, 1, 4))
+            lengths = np.asarray(batch.column(3)[i].values)
+            yield queries.bounds(bits, hashes, lengths, slices), batch.column(2)[i].values
+
+
+_READ = ("bits", "hashes", "doc_ids", "lengths", "slices")
 
 
 _BOUNDED = "item int, doc_id long, bound long"
@@ -196,7 +207,7 @@ def _leading(index: DataFrame, queries: _Queries, top: int) -> DataFrame:
                 yield pa.record_batch({
                     "item": pa.array([k] * len(value), pa.int32()), "doc_id": pa.array(names, pa.int64()), "bound": pa.array(value)})
 
-    rows = index.select("bits", "doc_ids", "lengths", "slices").mapInArrow(run, _BOUNDED)
+    rows = index.select(*_READ).mapInArrow(run, _BOUNDED)
     place = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("bound"), F.col("doc_id").asc_nulls_last()))
     return rows.withColumn("place", place).filter(F.col("place") <= top).select("item", "doc_id")
 
@@ -211,7 +222,7 @@ def _open(index: DataFrame, queries: _Queries) -> DataFrame:
                 yield pa.record_batch({
                     "item": pa.array(items.astype(np.int32)), "doc_id": ids.take(pa.array(places)).cast(pa.int64())})
 
-    return index.select("bits", "doc_ids", "lengths", "slices").mapInArrow(run, "item int, doc_id long")
+    return index.select(*_READ).mapInArrow(run, "item int, doc_id long")
 
 
 def _scored(docs: DataFrame, candidates: DataFrame, queries: _Queries, top: int) -> DataFrame:
@@ -285,8 +296,8 @@ def search(docs: DataFrame, items: DataFrame, index: DataFrame | None = None, to
     w * (10^9 tf div (1000 tf + 20 m)) over an item's distinct terms, m = 50 + (50 n N div L).
 
     1. The signatures of ``build_index(docs)`` bound the score of every document, all in integers.
-    2. The ``top`` documents with the highest bounds are scored on their texts.  The last of their scores is
-       an item's floor: the final list cannot end below it.
+    2. The documents with the highest bounds, four times as many as asked for, are scored on their texts.  The
+       ``top``-th of their scores is an item's floor: the final list cannot end below it.
     3. Every document whose bound reaches the floor is scored on its text.  All others are proven to be below.
 
     Items are taken in groups of bounded size; each group passes over the index twice, and over the texts
@@ -302,7 +313,7 @@ def search(docs: DataFrame, items: DataFrame, index: DataFrame | None = None, to
     found = None
     for group in _groups(items, key) if n_docs else ():
         queries = _prepared(spark, index, group, n_docs, n_terms)
-        first = _scored(docs, _leading(index, queries, top), queries, top)
+        first = _scored(docs, _leading(index, queries, _LEAD * top), queries, top)
         floors = {r.item: r.score for r in first.filter(F.col("rank") == top).collect()}  # one row an item
         queries.floors = [floors.get(k, 1) for k in range(len(group))]
         last = _scored(docs, _open(index, queries), queries, top)

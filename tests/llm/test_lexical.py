@@ -42,6 +42,7 @@ def test_groups_and_shuffled_candidates(spark, make, monkeypatch):
     monkeypatch.setattr(lexical, "_GROUP_ITEMS", 8)
     monkeypatch.setattr(lexical, "_SENT", 0)
     monkeypatch.setattr(lexical, "_SLAB", 7)
+    monkeypatch.setattr(lexical, "_LEAD", 1)
     got = lexical.search(make(rows), items_of(spark, items), top=10)
     assert found(got) == sorted(brute.ranked(rows, items, 10), key=str)
 
@@ -58,7 +59,7 @@ def test_bounds_hold_and_exclude(spark, make):
     texts = dict(rows)
     tight = 0
     for r in index:
-        bounds = queries.bounds(r.bits, np.array(r.lengths), bytes(r.slices))
+        bounds = queries.bounds(r.bits, r.hashes, np.array(r.lengths), bytes(r.slices))
         for k in range(2):
             for i, bound in zip(r.doc_ids, bounds[k]):
                 words = lexical.terms_of(texts[i])
