@@ -10,6 +10,8 @@ from shelfline.operators import cleaning, etl, features, inventory, marts, model
 from shelfline.session import materialize
 from shelfline.sources import readers, writers
 
+_SERIES_LAYOUT = (sql_features.SERIES, ("sale_date",))
+
 
 def clean(sales: DataFrame, stores: DataFrame | None, products: DataFrame | None, exact: bool = True) -> DataFrame:
     """Frame track: parse, deduplicate, drop negatives, enrich, impute, cap.
@@ -89,15 +91,17 @@ def run_frame_track(
 def run_warehouse_track(spark: SparkSession, prefix: str = "") -> list[str]:
     """Declared raw tables to cleaned, feature and mart tables; existing cleaned and feature tables are kept.
 
+    Cleaned sales and features are stored in buckets of a series, sorted by date: features are
+    worked out from the cleaned table, and read by series later, without a shuffle.
     ``prefix`` goes before the names of the layers.
     """
     raw_layer, cleaned_layer, analytics = writers.create_layers(spark, prefix)
     enriched_table, feature_table = f"{cleaned_layer}.sales_enriched", f"{analytics}.demand_features"
     sales, stores, products = (spark.table(f"{raw_layer}.{t}") for t in ("sales", "stores", "products"))
     if not spark.catalog.tableExists(enriched_table):
-        writers.create_table_as(etl_stages(sales, stores, products)["enriched"], enriched_table)
+        writers.create_table_as(etl_stages(sales, stores, products)["enriched"], enriched_table, *_SERIES_LAYOUT)
     if not spark.catalog.tableExists(feature_table):
-        writers.create_table_as(sql_features.demand_features(spark.table(enriched_table)), feature_table)
+        writers.create_table_as(sql_features.demand_features(spark.table(enriched_table)), feature_table, *_SERIES_LAYOUT)
     built = marts.build_marts(spark.table(feature_table))
     writers.refresh_marts(built, analytics)
     return [enriched_table, feature_table, *[f"{analytics}.{m}" for m in built]]

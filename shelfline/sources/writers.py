@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -53,11 +53,24 @@ def create_tables(spark: SparkSession, layer: str = "raw_data") -> list[str]:
     return created
 
 
-def create_table_as(df: DataFrame, table: str) -> bool:
-    """Save ``df`` as a table unless the table exists; tells whether it was written."""
-    if df.sparkSession.catalog.tableExists(table):
+def create_table_as(
+    df: DataFrame, table: str, bucket_by: Sequence[str] = (), sort_by: Sequence[str] = (), buckets: int | None = None
+) -> bool:
+    """Save ``df`` as a table unless the table exists; tells whether it was written.
+
+    With ``bucket_by`` the rows are dealt into ``buckets`` (the shuffle partitions unless given) by the hash that
+    Spark's joins and windows use, so that readers by these columns need no shuffle.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
         return False
-    df.write.format("parquet").saveAsTable(table)
+    if not bucket_by:
+        df.write.format("parquet").saveAsTable(table)
+        return True
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one task a bucket, one file a bucket
+    writer = df.repartition(buckets, *bucket_by).write.format("parquet").bucketBy(buckets, *bucket_by)
+    (writer.sortBy(*sort_by) if sort_by else writer).saveAsTable(table)
     return True
 
 
