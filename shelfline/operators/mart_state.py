@@ -108,7 +108,7 @@ def mart_states(min_days: int = 30) -> dict[str, MartState]:
             {"region": "region", "month": "month(sale_date)", "year": "year(sale_date)"},
             {"total_units": _UNITS, "units_known": _UNITS_KNOWN, "total_revenue": _REVENUE},
             _regional, {"active_stores": "store_id", "active_products": "product_id"},
-            slot="CAST(year * 12 + month AS BIGINT)"),
+            slot="CAST(year AS BIGINT)"),
         "mv_stockout_summary": MartState(
             columns("product_id", "category"),
             {"total_days": _ROWS, "high_risk_days": _risk("High"), "medium_risk_days": _risk("Medium"), "units": _UNITS,
@@ -135,7 +135,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _merge_slots(new: DataFrame, keys: Sequence[str], merged: Mapping[str, Column], batch: int, path: str) -> None:
+def merge_slots(new: DataFrame, keys: Sequence[str], merged: Mapping[str, Column], batch: int, path: str) -> None:
     """Merges ``new`` (with ``slot``) into the stored slots it touches, by keys in which NULL is a group, and rewrites those."""
     spark = new.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in new.schema}
@@ -192,9 +192,9 @@ def merge_batch(features: DataFrame, batch: int, path: str, only: Sequence[str]
                 bits = bits.withColumns({"number": F.col("number") + 1, "slot": _slot(mart)})
                 bits = bits.groupBy("slot", *mart.keys, F.bitmap_bucket_number("number").alias("part")).agg(
                     F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
-                _merge_slots(bits, [*mart.keys, "part"], {"bits": F.bitmap_or_agg("bits")}, batch, f"{path}/{name}/{set_name}")
+                merge_slots(bits, [*mart.keys, "part"], {"bits": F.bitmap_or_agg("bits")}, batch, f"{path}/{name}/{set_name}")
         # the sums come last: a batch that stopped before has not been taken
-        _merge_slots(found.withColumn("slot", _slot(mart)), list(mart.keys), {n: F.sum(n) for n in mart.sums}, batch, f"{path}/{name}/sums")
+        merge_slots(found.withColumn("slot", _slot(mart)), list(mart.keys), {n: F.sum(n) for n in mart.sums}, batch, f"{path}/{name}/sums")
 
 
 def read_marts(spark: SparkSession, path: str, only: Sequence[str] | None = None, min_days: int = 30) -> dict[str, DataFrame]:

@@ -76,6 +76,17 @@ def promo_impact(features: DataFrame) -> DataFrame:
     )
 
 
+def region_subtotals(features: DataFrame) -> DataFrame:
+    """Totals per store, per region and overall in one aggregation.
+
+    ``level`` tells what a row is: 0 a store, 1 a region, 3 everything.  A NULL region or store
+    at a level that has it is a group of its own, not a subtotal.
+    """
+    return features.rollup("region", "store_id").agg(
+        F.grouping_id().cast("int").alias("level"), F.count("*").alias("num_transactions"), F.sum("units_sold").alias("total_units"),
+        F.sum("revenue").alias("total_revenue"), F.avg("units_sold").alias("avg_units"))
+
+
 def build_marts(features: DataFrame) -> dict[str, DataFrame]:
     return {
         "mv_daily_store_demand": daily_store_demand(features),

@@ -24,9 +24,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+_COLUMNS: dict[str, str] = {}
+
+
 def register(name: str, columns: str, sql: str | None = None):
     """Add a query under ``name``; ``sql`` yields at least the same columns, in any order."""
     def add(run: Query) -> Query:
+        _COLUMNS[name] = columns
         QUERIES[name] = lambda spark, folder: shaped(run(spark, folder), columns)
         if sql is not None:
             ORACLES[name] = f"SELECT {select_list(columns)} FROM ({sql}) AS result"
@@ -34,6 +38,13 @@ def register(name: str, columns: str, sql: str | None = None):
     return add
 
 
+def register_like(name: str, other: str, run: Query) -> None:
+    """Add another way to the result of ``other``, with its columns and its SQL."""
+    columns = _COLUMNS[other]
+    QUERIES[name] = lambda spark, folder: shaped(run(spark, folder), columns)
+    ORACLES[name] = ORACLES[other]
+
+
 def _warehouse(last: str, query: str | None = None, **extra: str) -> str:
     return oracle.with_steps(oracle.WAREHOUSE, last, query or f"SELECT * FROM {last}", **extra)
 
@@ -987,32 +998,33 @@ def _(spark, folder):
     return modeling.best_model(_naive_metrics(spark, folder))
 
 
-def _trained(spark, folder, *names):
-    """The named default models (all unless given) as ``run_training`` fits them: (fitted, metrics, test rows, inputs)."""
+def _fit(spark, folder, *names):
+    """The named default models (all unless given), fitted once for these inputs: (stored fit, folder of each)."""
     keys, target = ["sale_date", "store_id", "product_id"], "units_sold"
     rows = materialize(frame.encode_features(_frame_features(spark, folder), keep=keys))
     inputs = [c for c in rows.columns if c not in (*keys, target, *frame.LEAKING)]
     train, test = modeling.date_split(rows)
     models = {name: model for name, model in modeling.default_models(target).items() if not names or name in names}
-    fitted, metrics = modeling.train_models(train, test, inputs, target, models)
-    return fitted, metrics, test, inputs
+    fit = modeling.StoredFit(train, test, inputs, target, keys)
+    return fit, fit.ensure(models)
 
 
 @register("gbt_forecast", _KEY + "units_sold:d prediction:d")
 def _(spark, folder):
-    fitted, _, test, _ = _trained(spark, folder, "boosted_trees")
-    return fitted["boosted_trees"].transform(test)
+    fit, paths = _fit(spark, folder, "boosted_trees")
+    return fit.predictions(paths["boosted_trees"])
 
 
 @register("model_comparison", _METRICS)
 def _(spark, folder):
-    return _trained(spark, folder)[1]
+    fit, paths = _fit(spark, folder)
+    return fit.metrics(paths)
 
 
 @register("feature_importance", "feature importance:d")
 def _(spark, folder):
-    fitted, _, _, inputs = _trained(spark, folder, "boosted_trees")
-    return modeling.feature_importance(fitted["boosted_trees"], inputs)
+    fit, paths = _fit(spark, folder, "boosted_trees")
+    return modeling.feature_importance(fit.model(paths["boosted_trees"]), fit.features)
 
 
 # Streams

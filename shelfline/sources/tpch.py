@@ -112,19 +112,24 @@ TABLES = {
     "region": "r_regionkey int, r_name string",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
 }
-MAX_SPREAD_SPLITS = 2  # a split is 128 MB at most by default
+# Files of a few splits may hold all their rows in one row group, which one task reads; larger ones are read as they are.
+MAX_SPREAD_BYTES = 256 * 1024 * 1024
 _ROW_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A source table.  A large one that is a single small file is spread over the cores; any other is read as it is."""
+    """A source table.  One of the large ones whose files are small in all is spread over the cores; any other is read as it is."""
     df = spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _ROW_KEY and df.rdd.getNumPartitions() <= MAX_SPREAD_SPLITS < cores:
-        df = df.repartition(cores, _ROW_KEY[name])
+    if name in _ROW_KEY and stored_bytes(df) <= MAX_SPREAD_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism, _ROW_KEY[name])
     return df
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files that ``df`` scans, from their listing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # a stream reads a folder or a pattern, not a single file by name
     return spark.readStream.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet*")

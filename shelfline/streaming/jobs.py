@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfline.functions.joins import null_safe_join
 from shelfline.operators import quality, scoring, sql_features
 from shelfline.session import materialize
 
@@ -81,13 +82,26 @@ def daily_mart(stream: DataFrame, by: Sequence[str], value: str = "value", ts: s
 
 
 def run_daily_mart(mart: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each batch's changed days to a folder of its own.
+    """Keeps the days that a batch changes up to date in a table with a partition for each day.
 
-    A batch that is repeated after a failure overwrites its own folder, so every
-    change counts once.
+    A change brings the whole total of its day and key, so it replaces the row that is there;
+    a batch that is repeated after a failure replaces its own.  Other days are neither read nor written.
     """
+    keys = [c for c in mart.columns if c not in ("num_transactions", "total_units")]
+    schema = T.StructType([*[f for f in mart.schema if f.name != "sale_date"], mart.schema["sale_date"]])
+    spark = mart.sparkSession
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("sale_date").parquet(path)
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}-columns")
+
     def write(changes: DataFrame, batch: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        new = materialize(changes.select(*schema.names))
+        days = F.broadcast(new.select("sale_date").distinct())
+        stored = changes.sparkSession.read.schema(schema).parquet(path).join(days, "sale_date", "left_semi").select(*schema.names)
+        kept = null_safe_join(stored, new.select(*keys), keys, "left_anti")
+        (
+            materialize(kept.unionByName(new)).repartition("sale_date")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sale_date").parquet(path)
+        )
 
     return (
         mart.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
@@ -96,10 +110,9 @@ def run_daily_mart(mart: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 
 
 def read_daily_mart(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
-    """The latest totals of each day and key."""
-    changes = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-    latest = Window.partitionBy("sale_date", *by).orderBy(F.col("batch").desc())
-    return changes.withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1").drop("_rank", "batch")
+    """The totals of each day and key; the cost does not depend on the number of batches."""
+    schema = spark.read.parquet(f"{path}-columns").schema
+    return spark.read.schema(schema).parquet(path).select("sale_date", *by, "num_transactions", "total_units")
 
 
 _STORE_DAY = ("sale_date", "store_id", "region", "store_type")
