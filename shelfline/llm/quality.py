@@ -149,7 +149,7 @@ def fit(rows: list[tuple[str, int]], share_good: float, epochs: int = 8, rate: f
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
     """A model fitted on up to ``per_class`` labelled rows of each class, or None without rows of both.
 
-    The rows are those of smallest id hash, so reruns agree.  Only the choice of
+    The rows are those of smallest id hash, so reruns agree; of rows that share an id the text of largest hash is used.  Only the choice of
     ids and the weights pass the driver; texts are read and the model is fitted in a task, whose
     input has a fixed number of rows.  Class shares are counted over all labels.  Labels other
     than 0 and 1 are left out.
@@ -165,6 +165,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     chosen = chosen.withColumnRenamed("doc_id", "_id")
     # at most 2 * per_class rows of two numbers
     sample = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    # one text for each id: an id that many rows share would bring all of them to the task that fits
+    one = F.max(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    sample = sample.groupBy("doc_id", "quality").agg(one.alias("one")).select("doc_id", F.col("one.text").alias("text"), "quality")
     share = shares[1] / (shares[0] + shares[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
                 "slope": pa.array([model.slope]), "shift": pa.array([model.shift]),
             })
 
-    fitted = sample.select("doc_id", "text", "quality").repartition(1).mapInArrow(run, "weights binary, slope double, shift double")
+    fitted = sample.repartition(1).mapInArrow(run, "weights binary, slope double, shift double")
     row = fitted.first()
     if row is None:
         return None

@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from llm_fixtures import SF, make  # noqa: F401  (fixtures)
-from shelfline.llm import byte_bpe, exact_dedup
+from shelfline.llm import byte_bpe, exact_dedup, quality, warc
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 # each is (text, the parts that the library can take one by one)
@@ -76,3 +76,32 @@ def test_a_batch_that_was_half_written(spark, make):
     assert kept_of(exact_dedup.deduplicate(docs.repartition(6), "idx_half", "one")) == want
     exact_dedup.drop_index(spark, "idx_half")
     assert not spark.catalog.tableExists("idx_half")
+
+
+def test_pages_that_repeat_have_records_of_their_own(spark):
+    pages = [(k, f"http://a/{k}", None) for k in range(300)] + [(7, "http://a/7", "same")] * 3 + [(None, None, "same"), (8, "u", "other")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    warc.write_archive(df, "arc_repeats")
+    rows = warc.read_archive(spark, "arc_repeats").collect()
+    ids = [r.header.split("WARC-Record-ID: ")[1].split("\r\n")[0] for r in rows]
+    assert len(rows) == len(pages) == len(set(ids))
+    by_id = dict(zip(ids, rows))
+    for r in rows:
+        if r.record_type == "revisit":
+            to = by_id[r.header.split("WARC-Refers-To: ")[1].split("\r\n")[0]]
+            assert to.record_type == "response" and to.payload == r.payload and to.page_id == r.refers_to
+    assert sum(r.record_type == "response" for r in rows) == 3
+    plan = warc.read_archive(spark, "arc_repeats")._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in plan
+
+
+def test_an_id_that_many_rows_share_brings_one_text(spark, make):
+    rng = random.Random(3)
+    good = [(k, " ".join(rng.choice(["the", "of", "walk", "tree", "house"]) for _ in range(80))) for k in range(30)]
+    bad = [(100 + k, " ".join(rng.choice(["$$", "buy", "!!!", "win"]) for _ in range(80))) for k in range(30)]
+    many = [(0, f"the tree {k}") for k in range(3000)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    docs = make(good + bad + many)
+    model = quality.train(docs, labels)
+    again = quality.train(docs.repartition(5).orderBy("text"), labels)
+    assert (model.weights == again.weights).all() and (model.slope, model.shift) == (again.slope, again.shift)
