@@ -21,8 +21,9 @@ def base32_of_sha1(hexed: Column) -> Column:
     return F.translate(F.concat(*parts), CONV32, BASE32)
 
 
-def _record_id(page_id: Column) -> Column:
-    h = F.md5(F.concat(F.lit("page:"), F.coalesce(page_id.cast("string"), F.lit("null"))))
+def _record_id(page_id: Column, row: Column) -> Column:
+    """An id of its own for every record, also of pages that share their page_id."""
+    h = F.md5(F.concat_ws(":", F.lit("page"), F.coalesce(page_id.cast("string"), F.lit("null")), row.cast("string")))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -37,13 +38,13 @@ def _header(date: str) -> Column:
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", _record_id(F.col("page_id"))),
+        line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("row"))),
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", uri),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")),
         F.when(revisit, F.concat(
             line("WARC-Profile", F.lit(REVISIT_PROFILE)),
-            line("WARC-Refers-To", _record_id(F.col("first_id"))),
+            line("WARC-Refers-To", _record_id(F.col("first_id"), F.col("first.row"))),
         )).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
@@ -62,8 +63,8 @@ def write_archive(pages: DataFrame, archive: str, min_revisit_bytes: int = 0, da
     meet in one task.  Payloads are bucketed by digest as they leave that shuffle; headers hold the page's own facts.
 
     Null html is the empty payload and null url the empty address.  A null
-    page_id is smaller than all others; rows that repeat give records that
-    repeat, of which one stays the response.
+    page_id is smaller than all others; rows that repeat give a record each, with an
+    id of its own, of which one stays the response.
     """
     spark = pages.sparkSession
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -90,6 +91,24 @@ def write_archive(pages: DataFrame, archive: str, min_revisit_bytes: int = 0, da
     ).write.format("parquet").option("compression", "zstd").saveAsTable(f"{archive}_headers")
 
 
+def _with_payloads(headers: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Headers with their payloads, whatever share of them has one digest.
+
+    Most meet in the buckets of the payloads, which do not move.  Digests with more than a thousandth of all
+    headers (fewer than 1,000) are dealt into parts of about that many headers, and their payloads are copied for each part.
+    """
+    sizes = headers.groupBy("digest").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    hot = materialize(sizes.filter(F.col("n") * 1000 > total).select(
+        "digest", F.ceil(F.col("n") * 1000 / F.lit(max(total, 1))).cast("int").alias("parts")))
+    hot = F.broadcast(hot)
+    cold = headers.join(hot, "digest", "left_anti").join(payloads.hint("merge"), "digest", "left")
+    dealt = headers.join(hot, "digest").withColumn("part", F.pmod(F.xxhash64("header"), F.col("parts")).cast("int")).drop("parts")
+    copied = payloads.join(hot, "digest").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    # not broadcast: a payload may be of any size
+    return dealt.join(copied.hint("merge"), ["digest", "part"]).drop("part").unionByName(cold)
+
+
 def read_archive(spark: SparkSession, archive: str) -> DataFrame:
     """Every record again: page_id, header, payload, record, and what the header says.
 
@@ -97,7 +116,7 @@ def read_archive(spark: SparkSession, archive: str) -> DataFrame:
     revisits too.  A payload that does not have the header's digest raises an error.
     """
     headers, payloads = spark.table(f"{archive}_headers"), spark.table(f"{archive}_payloads")
-    rows = headers.join(payloads.hint("merge"), "digest", "left")
+    rows = _with_payloads(headers, payloads)
 
     def field(name: str) -> Column:
         return F.regexp_extract("header", f"\r\n{name}: ([^\r\n]*)\r\n", 1)
