@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.llm.common import text_of
@@ -14,8 +17,9 @@ HEX = r"[0-9a-f]{16,}"
 MIN_ASSIGNED = 12
 KINDS = ("assign", "access", "hex", "random")
 
-# Candidates of the battery: long enough that three tests have power.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# Candidates of the battery, and the shorter tokens that show what is ordinary.
+TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{2,15}+(?![A-Za-z0-9+/_=-])"
 
 # Alphabets, the narrowest that holds a token being its encoding.
 ALPHABETS = {
@@ -27,8 +31,19 @@ ALPHABETS = {
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
-# Written numbers and words are not keys, however even their letters are.
-NOT_KEYS = ("decimal", "lower")
+# Digits of a written number are as random as those of a key: they are left out.
+NOT_KEYS = ("decimal",)
+LEVEL = 0.01  # of the battery: of random tokens about this share is taken for not random
+
+# Characters of a token by number from 1, and their types.
+_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_="
+_UPPER, _LOWER, _DIGIT, _SIGN, _START = range(5)
+# Shares of the ordinary model that take any type after any other, as names in code do, and any letter after any other, as
+# words of languages do that the documents lack; and what its counts start with.
+_ANY_TYPE, _ANY_LETTER, _PRIOR = 0.3, 0.3, 100.0
+_PRIOR_TYPES = {  # from: to upper, lower, digit, sign
+    _START: (0.15, 0.8, 0.04, 0.01), _UPPER: (0.2, 0.7, 0.05, 0.05), _LOWER: (0.03, 0.9, 0.03, 0.04),
+    _DIGIT: (0.05, 0.1, 0.75, 0.1), _SIGN: (0.2, 0.5, 0.2, 0.1)}
 
 
 def _hits(kind: str, pattern: str, ok: Column | None = None) -> Column:
@@ -110,29 +125,101 @@ def randomness(tokens: DataFrame) -> DataFrame:
     return rows.withColumn("p_random", p).select(*tokens.columns, "encoding", "p_random")
 
 
+def _type(v: int) -> int:
+    return _START if v == 0 else _UPPER if v <= 26 else _LOWER if v <= 52 else _DIGIT if v <= 62 else _SIGN
+
+
+def _letter(v: int) -> int:
+    return (v - 1) % 26 + 1 if 0 < v <= 52 else 0
+
+
+def _before(prev: int, v: int) -> int:
+    """The letter that ``v`` follows in its word; 0 where a word begins, as at a capital behind a small letter."""
+    return 0 if _type(prev) == _LOWER and _type(v) == _UPPER else _letter(prev)
+
+
+def ordinary_pairs(texts: DataFrame) -> dict[tuple[int, int], int]:
+    """How often a character (by number; 0 is the beginning) is followed by another in the short tokens of all ``texts``.
+
+    Tokens are counted first, so a word costs one row per task; what comes to the
+    driver are the counts of at most 68 x 67 pairs.
+    """
+    tokens = texts.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"))
+    numbers = F.transform(F.split("token", ""), lambda c: F.instr(F.lit(_CHARS), c))
+    numbers = F.filter(numbers, lambda v: v > 0)
+    pairs = tokens.withColumn("_v", numbers).select("n", F.explode(F.transform("_v", lambda v, i: F.struct(
+        F.coalesce(F.get("_v", i - 1), F.lit(0)).alias("a"), v.alias("b")))).alias("p"))
+    return {(r["a"], r["b"]): r["n"] for r in pairs.groupBy("p.a", "p.b").agg(F.sum("n").alias("n")).collect()}
+
+
+def ordinary_model(pairs: Mapping[tuple[int, int], int]) -> list[float]:
+    """Log-probabilities of each character after each other in ordinary tokens, as a table of 68 x 68 numbers.
+
+    The type comes first (capital, small letter, digit, sign, given the type before), then the letter
+    given the one before in its word, whatever their case.
+    """
+    types = {t: [_PRIOR * p for p in shares] for t, shares in _PRIOR_TYPES.items()}
+    letters = [[_PRIOR / 26] * 27 for _ in range(27)]
+    for (a, b), n in pairs.items():
+        types[_type(a)][_type(b)] += n
+        if _letter(b):
+            letters[_before(a, b)][_letter(b)] += n
+    table = [0.0] * (68 * 68)
+    for a in range(68):
+        for b in range(1, 68):
+            share = types[_type(a)]
+            kind = (1 - _ANY_TYPE) * share[_type(b)] / sum(share) + _ANY_TYPE / 4
+            if _letter(b):
+                row = letters[_before(a, b)]
+                inside = (1 - _ANY_LETTER) * row[_letter(b)] / sum(row[1:]) + _ANY_LETTER / 26
+            else:
+                inside = 0.1 if _type(b) == _DIGIT else 0.2
+            table[68 * a + b] = math.log(kind) + math.log(inside)
+    return table
+
+
+def ordinary_chance(tokens: DataFrame, model: list[float]) -> DataFrame:
+    """Adds p_ordinary to rows with ``token`` and ``encoding``: a bound on the chance that an ordinary token looks as random.
+
+    The likelihood of the token under uniform characters of an encoding over that under the ordinary model
+    is, in ordinary tokens, 1 on the average, so it exceeds x at most once in x.  The encoding is chosen
+    after looking, which costs their number.
+    """
+    numbers = F.filter(F.transform(F.split("token", ""), lambda c: F.instr(F.lit(_CHARS), c)), lambda v: v > 0)
+    rows = tokens.withColumn("_v", numbers)
+    places = F.transform("_v", lambda v, i: F.coalesce(F.get("_v", i - 1), F.lit(0)) * 68 + v)
+    table = F.lit(model)
+    ordinary = F.aggregate(places, F.lit(0.0), lambda total, at: total + F.get(table, at.cast("int")))
+    sizes = F.create_map(*[x for name, chars in ALPHABETS.items() for x in (F.lit(name), F.lit(float(64 if name == "base64" else len(chars))))])
+    uniform = -F.log(sizes[F.col("encoding")]) * F.size("_v")
+    p = F.least(F.lit(1.0), F.exp(F.lit(math.log(len(ALPHABETS))) - (uniform - ordinary)))
+    return rows.withColumn("p_ordinary", p).drop("_v")
+
+
 def _cutoffs(tested: DataFrame, rate: float) -> DataFrame:
-    """Largest p of each encoding and length class that false-discovery control at ``rate`` rejects.
+    """Largest p_ordinary of each length class that is a find at false-discovery ``rate``.
 
-    Benjamini-Hochberg within classes of like length (by octave), since short tokens give weak tests
-    whose p-values would loosen the bound for long ones.  p is counted in steps
+    Benjamini-Hochberg within classes of like length (by octave): short tokens give weaker
+    evidence, and their number shall not loosen or tighten the bound for long ones.  p is counted in steps
     of 0.05 of its logarithm, so a class has at most 1,000 counts whatever it holds.
     """
-    steps = tested.groupBy("encoding", "octave", "step").agg(F.count("*").alias("n"), F.max("p_random").alias("p"))
-    group = Window.partitionBy("encoding", "octave")
+    steps = tested.groupBy("octave", "step").agg(F.count("*").alias("n"), F.max("p_ordinary").alias("p"))
+    group = Window.partitionBy("octave")
     upto = group.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = steps.withColumns({"rank": F.sum("n").over(upto), "all": F.sum("n").over(group)})
-    return ranked.filter(F.col("p") <= F.lit(rate) * F.col("rank") / F.col("all")).groupBy("encoding", "octave").agg(
-        F.max("p").alias("cutoff"))
+    return ranked.filter(F.col("p") <= F.lit(rate) * F.col("rank") / F.col("all")).groupBy("octave").agg(F.max("p").alias("cutoff"))
 
 
 def scan(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     """All secrets of each document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
-    Base kinds are leftmost matches of fixed patterns.  The battery then looks at
-    every other long token: it infers the encoding, tests for randomness, and
-    rejects with false-discovery control per length class; tokens that still look
-    random, and are neither numbers nor words, are added as kind ``random`` where
-    they overlap no base span.  ``spans`` lists kind:start:end by start, code
+    Base kinds are leftmost matches of fixed patterns.  Every other token of 16 or more
+    characters is a candidate.  The battery infers its encoding and tests whether its characters are independent and
+    uniform; what fails is no key.  For the others the chance is bounded that an ordinary token, as the
+    short tokens of all documents show them, looks as random, and those below the bound of false-discovery
+    control at ``rate``, by length class, are added as kind ``random`` where they overlap no base
+    span: of what is added, about ``rate`` is ordinary.  Numbers are not added.  ``spans`` lists kind:start:end by start, code
     points, end exclusive.
 
     Each text is read once and only its hits go on.  Positions are running sums over the hits
@@ -157,14 +244,15 @@ def scan(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     clear = (F.coalesce(F.col("_end_before"), F.lit(0)) <= F.col("start")) & (
         F.col("_start_after").isNull() | (F.col("_start_after") >= F.col("end")))
     placed = materialize(placed.filter(base | clear).select("row", "kind", "order", "start", "end", "token"))
-    tested = randomness(placed.filter("kind = 'random'")).withColumns({
+    model = ordinary_model(ordinary_pairs(texts))
+    tested = ordinary_chance(randomness(placed.filter("kind = 'random'")), model).withColumns({
         "octave": F.floor(F.log2(F.col("end") - F.col("start"))),
-        "step": F.least(F.lit(999), F.floor(-20 * F.log(F.greatest(F.col("p_random"), F.lit(1e-300))))),
+        "step": F.least(F.lit(999), F.floor(-20 * F.log(F.greatest(F.col("p_ordinary"), F.lit(1e-21))))),
     })
     tested = materialize(tested)
-    cutoffs = _cutoffs(tested, rate)
-    random = tested.join(cutoffs, ["encoding", "octave"], "left").filter(
-        ~F.col("encoding").isin(*NOT_KEYS) & (F.col("p_random") > F.coalesce(F.col("cutoff"), F.lit(0.0))))
+    # one row for each octave
+    random = tested.join(F.broadcast(_cutoffs(tested, rate)), "octave").filter(
+        (F.col("p_ordinary") <= F.col("cutoff")) & (F.col("p_random") > LEVEL) & ~F.col("encoding").isin(*NOT_KEYS))
     final = placed.filter("kind <> 'random'").drop("token").unionByName(random.select("row", "kind", "order", "start", "end"))
     written = F.concat_ws(":", "kind", "start", "end")
     gathered = final.groupBy("row").agg(

@@ -220,15 +220,41 @@ def test_base_secrets_against_plain_patterns(make, docs, rows):
         assert ",".join(s for s in r.spans.split(",") if not s.startswith("random")) == want[4]
 
 
-def test_battery_adds_random_tokens_only(spark, make):
+ENCODINGS = {
+    "lower": "abcdefghijklmnopqrstuvwxyz", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "HEX": "0123456789ABCDEF",
+    "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+NOT_RANDOM = [
+    "TheQuickBrownFoxJumpsOverTheLazyDog", "getUserAccountBalanceFromDatabase", "src/main/java/org/example/service/UserService",
+    "this_is_a_long_variable_name_in_code", "https-www-example-com-articles-index", "usr/local/share/applications/mimeinfo",
+    "AbstractSingletonProxyFactoryBean", "verylongwordwithoutanyspacesinsideit", "version-2024-01-15-release-candidate",
+    "ABABABABABABABABABABABABABABAB", "aaaaaaaaaaaaaaaaaaaaaaaaa1", "1234567890123456789012345", "--------------------------------",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "================================", "thisisaverylongwordofnaturallanguage",
+]
+
+
+def test_finds_are_random_tokens_of_any_length_and_encoding(make, rows):
     rng = random.Random(4)
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    keys = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(100)]
-    plain = ["thisisaverylongwordofnaturallanguage", "ABABABABABABABABABABABABABABAB", "aaaaaaaaaaaaaaaaaaaaaaaaa1", "1234567890123456789012345",
-             "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "--------------------------------", "================================"]
-    got = {r.doc_id: r.n_random for r in secrets.scan(make(list(enumerate([f"x {k} y" for k in keys + plain])))).collect()}
-    assert sum(got[i] for i in range(100)) >= 97
-    assert [got[100 + i] for i in range(len(plain))] == [0] * len(plain)
+    keys = {(name, n, k): "".join(rng.choice(chars) for _ in range(n)) for name, chars in ENCODINGS.items() for n in (16, 19, 24, 40) for k in range(25)}
+    texts = [f"see {k} end" for k in [*keys.values(), *(p for p in NOT_RANDOM for _ in range(3))]]
+    background = [(10_000 + i, t) for i, t in rows]
+    got = {r.doc_id: r.n_random for r in secrets.scan(make([*enumerate(texts), *background])).collect()}
+    for name in ENCODINGS:
+        for n in (16, 19, 24, 40):
+            found = [got[i] for i, key in enumerate(keys) if key[:2] == (name, n)]
+            assert sum(found) >= 0.8 * len(found), (name, n)
+    found = [got[i] for i in range(len(keys))]
+    assert sum(found) >= 0.93 * len(keys)
+    ordinary = [got[i] for i in range(len(keys), len(texts))]
+    assert sum(ordinary) <= 0.01 * (sum(found) + sum(ordinary))
+    assert sum(got[i] for i, _ in background) <= 0.01 * len(background)
+
+
+def test_ordinary_model_is_a_distribution():
+    table = secrets.ordinary_model({(0, 27): 50, (27, 28): 40, (28, 1): 3, (1, 53): 2})
+    for a in range(68):
+        assert sum(np.exp(table[68 * a + b]) for b in range(1, 68)) == pytest.approx(1, abs=1e-9)
 
 
 def test_secrets_odd_rows(clashing, odd):
