@@ -11,6 +11,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 _S, _I, _SMALL, _L, _D = T.StringType(), T.IntegerType(), T.ShortType(), T.LongType(), T.DoubleType()
 
+# Names and types of the columns of all tables.
 SALES = _schema(
     ("id", _L), ("sale_date", T.DateType()), ("store_id", _S), ("product_id", _S), ("category", _S),
     ("units_sold", _I), ("unit_price", T.DecimalType(10, 2)), ("revenue", T.DecimalType(12, 2)),

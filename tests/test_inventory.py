@@ -51,8 +51,8 @@ def test_allocation_is_optimal(spark, limit):
 
 @pytest.mark.parametrize("demands, capacities, total, expected", [
     ([3.5, 2], [7, 4], 100, [7, 4]),
-    ([100, 100, 100], [100, 100, 100], 50, [0, 0, 50]),
-    ([50], [100], 75, [75]),
+    ([80, 80], [90, 90], 30, [0, 30]),
+    ([40], [90], 60, [60]),
 ])
 def test_allocation_cases(spark, demands, capacities, total, expected):
     rows = inventory.allocate(requests(spark, [(demands, capacities, total)])).orderBy("store_idx").collect()
@@ -60,12 +60,12 @@ def test_allocation_cases(spark, demands, capacities, total, expected):
 
 
 def test_allocation_summary(spark):
-    cases = [([100, 50, 30], [150, 80, 50], 200), ([100] * 3, [100] * 3, 50), ([10, 20, 30], [50] * 3, 500), ([0], [0], 20_000)]
+    cases = [([70, 40, 20], [120, 60, 40], 160), ([90] * 4, [90] * 4, 60), ([12, 18, 25], [40] * 3, 400), ([0], [0], 9_000)]
     rows = {r["group_id"]: r for r in inventory.allocation_summary(inventory.allocate(requests(spark, cases))).collect()}
-    assert rows["0"]["inventory_used"] <= 200 and rows["0"]["fill_rate"] > 0
-    assert rows["1"]["inventory_used"] == 50 and rows["1"]["fill_rate"] < 100
+    assert rows["0"]["inventory_used"] <= 160 and rows["0"]["fill_rate"] > 0
+    assert rows["1"]["inventory_used"] == 60 and rows["1"]["fill_rate"] < 100
     assert rows["2"]["fill_rate"] == 100.0
-    assert rows["3"]["fill_rate"] == 0.0 and rows["3"]["inventory_remaining"] == 20_000
+    assert rows["3"]["fill_rate"] == 0.0 and rows["3"]["inventory_remaining"] == 9_000
 
 
 def test_unit_cap(spark):
@@ -79,11 +79,11 @@ def daily(spark, demands):
 
 
 @pytest.mark.parametrize("demands, window, expected", [
-    (range(10, 80, 10), 3, [20.0, 30.0, 40.0, 50.0, 60.0]),
-    ([10] * 5, 3, [10.0] * 3),
-    ([5, 10, 15], 1, [5.0, 10.0, 15.0]),
-    ([10, 20, 30], 3, [20.0]),
-    ([10, 20, 30], 7, [20.0]),
+    (range(12, 84, 12), 3, [24.0, 36.0, 48.0, 60.0]),
+    ([7] * 5, 3, [7.0] * 3),
+    ([4, 9, 15], 1, [4.0, 9.0, 15.0]),
+    ([9, 15, 21], 3, [15.0]),
+    ([9, 15, 21], 7, [15.0]),
     ([], 3, []),
 ])
 def test_demand_rate(spark, demands, window, expected):

@@ -6,7 +6,7 @@ import harness
 import pytest
 from conftest import DATA
 
-from shelfline.plans import catalog
+from shelfline.plans import catalog, stored  # noqa: F401  (stored adds its queries to the catalog)
 
 WIDE = """
 etl_dedup_latest etl_enriched clean_full clean_quality_report features_dashboard features_encoded
@@ -16,6 +16,8 @@ reorder_point reorder_point_by_product topk_per_store threshold_counts_many thre
 range_demand bundle_pairs reorder_schedule forecast_score forecast_risk_factors request_validation
 allocation_validation stride_sample positional_split scaled_features sequences best_model stream_dedup stream_rolling
 stream_sessions stream_score stream_daily_mart sink_typed_tables sink_warehouse_tables stage_encoded source_csv_sales
+series_table_features mart_promo_incremental report_category_analysis mart_region_subtotals keyed_sample best_partners
+stream_spikes queue_dispatch
 """.split()
 
 

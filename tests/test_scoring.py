@@ -9,6 +9,7 @@ from shelfline import schemas
 from shelfline.functions.columns import python_number_text
 from shelfline.operators import quality, scoring
 
+# A request whose answer is known.
 BASE = {
     "store_id": "S001", "product_id": "P0042", "category": "Groceries", "current_price": 12.99, "competitor_price": 13.5,
     "is_promotion": 0, "discount_pct": 0.0, "is_holiday": 0, "lag_7d": 45.0, "lag_30d": 0.0, "rolling_7d_mean": 42.5,
