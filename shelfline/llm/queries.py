@@ -36,9 +36,10 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
-    result = materialize(rows)
-    search.close()
-    return result
+    try:
+        return materialize(rows)
+    finally:
+        search.close()
 
 
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

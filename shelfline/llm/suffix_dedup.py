@@ -20,10 +20,10 @@ COVERS = {
 BLOCK_BYTES = 6 << 20  # text that one task holds
 BUCKET_KEYS = 1 << 20  # suffix keys that one bucket holds
 _CHUNK = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_LETTERS = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+# two hashes with nothing in common: a base each, and a number for each byte
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_LETTERS = np.random.default_rng(7).integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
+_powers: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
 
 
 def cover_for(depth: int) -> tuple[int, tuple[int, ...]]:
@@ -32,32 +32,44 @@ def cover_for(depth: int) -> tuple[int, tuple[int, ...]]:
     return max(fitting, default=min(COVERS)), COVERS[max(fitting, default=min(COVERS))]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if n not in _powers:
-        _powers.clear()
-        up, down = np.full(n, _BASE), np.full(n, _INVERSE)
+def _power_tables(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a hash's base and of its inverse; those of the last length are kept."""
+    if which not in _powers or _powers[which][0] != n:
+        up = np.full(n, np.uint64(_BASES[which]))
+        down = np.full(n, np.uint64(pow(_BASES[which], -1, 1 << 64)))
         up[0] = down[0] = 1
-        _powers[n] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _powers[n]
+        _powers[which] = n, np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return _powers[which][1:]
 
 
-def names(data: np.ndarray, wanted: np.ndarray, width: int) -> np.ndarray:
+def names(data: np.ndarray, wanted: np.ndarray, width: int, which: int = 0) -> np.ndarray:
     """64-bit names of the strings of ``width`` bytes at the wanted places, equal for equal strings."""
     out = []
-    up, down = _power_tables(_CHUNK + width)
+    up, down = _power_tables(_CHUNK + width, which)
     for a in range(0, len(data), _CHUNK):
         at = np.flatnonzero(wanted[a:a + _CHUNK])
         if not len(at):
             continue
         part = data[a:a + _CHUNK + width]
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_LETTERS[part] * up[:len(part)], out=sums[1:])
+        np.cumsum(_LETTERS[which][part] * up[:len(part)], out=sums[1:])
         h = (sums[at + width] - sums[at]) * down[at]
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         out.append(h ^ (h >> np.uint64(32)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _runs(order: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """Which of the ordered entries differ from the one before them."""
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = False
+        for column in columns:
+            ordered = column[order]
+            new[1:] |= ordered[1:] != ordered[:-1]
+    return new
+
+
 class Block:
     """The distinct texts of one block, end to end, with what is asked of them at each step."""
 
@@ -79,10 +91,20 @@ class Block:
                 self.sampled[start:end - self.width + 1] = pattern[:end - start - self.width + 1]
                 self.whole[start:end - depth + 1] = True
 
-    def keys(self, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct names, where each place finds its own, and which occur twice here."""
-        found, back, counts = np.unique(names(self.data, places, width), return_inverse=True, return_counts=True)
-        return found, back, counts > 1
+    def keys(self, places: np.ndarray, width: int, full: bool):
+        """Distinct names in order, where each place finds its own, and which occur twice here.
+
+        A full name is 96 bits, a 64-bit one and 32 bits of another hash; otherwise the second part is None.
+        """
+        first = names(self.data, places, width)
+        second = (names(self.data, places, width, 1) >> np.uint64(32)).astype(np.uint32) if full else None
+        order = np.lexsort((second, first)) if full else np.argsort(first, kind="stable")
+        new = _runs(order, *([first, second] if full else [first]))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.cumsum(new) - 1
+        starts = np.flatnonzero(new)
+        twice = np.diff(starts, append=len(order)) > 1
+        return first[order[starts]], second[order[starts]] if full else None, back, twice
 
     def messages(self, keys: np.ndarray):
         """The sorted keys cut at bucket bounds: (bucket, slice) of each bucket with keys."""
@@ -92,9 +114,9 @@ class Block:
         starts = np.flatnonzero(np.diff(numbers, prepend=numbers[:1] + np.uint64(1)))
         return [(int(numbers[x]), slice(x, y)) for x, y in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)])]
 
-    def repeated(self, places: np.ndarray, width: int, answers: dict[int, bytes]) -> np.ndarray:
+    def repeated(self, places: np.ndarray, width: int, full: bool, answers: dict[int, bytes]) -> np.ndarray:
         """The places whose string occurs elsewhere, from the buckets' answers."""
-        keys, back, twice = self.keys(places, width)
+        keys, _, back, twice = self.keys(places, width, full)
         for bucket, part in self.messages(keys):
             if bucket in answers:
                 bits = np.unpackbits(np.frombuffer(answers[bucket], np.uint8), count=part.stop - part.start)
@@ -117,22 +139,29 @@ class Block:
 
 def _answer(table: pa.Table) -> pa.Table:
     """Sorts one bucket and tells each block which of its keys another block has too."""
-    kind = np.uint32 if table["narrow"][0].as_py() else np.uint64
-    sent = [np.frombuffer(k.as_py(), kind) for k in table["keys"]]
-    ordered = np.sort(np.concatenate(sent))
-    shared = ordered[1:][ordered[1:] == ordered[:-1]]
+    narrow = table["narrow"][0].as_py()
+    sent = [np.frombuffer(k.as_py(), np.uint32) for k in table["keys"]]
+    if narrow:
+        columns = [np.concatenate(sent)]
+    else:
+        # two thirds of a message are 64-bit names, the last third what goes with them
+        columns = [np.concatenate([k[:len(k) // 3 * 2].view(np.uint64) for k in sent]),
+                   np.concatenate([k[len(k) // 3 * 2:] for k in sent])]
+    order = np.lexsort(columns[::-1])
+    tie = ~_runs(order, *columns)
+    # keys are distinct within a block, so a tie is with another one
+    hit = np.zeros(len(order), bool)
+    hit[order[tie]] = True
+    hit[order[np.append(tie[1:], False)]] = True
+    ends = np.cumsum([len(k) if narrow else len(k) // 3 for k in sent])
     blocks, bits = [], []
-    for block, keys in zip(table["block"], sent):
-        if not len(shared):
-            break
-        at = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
-        hit = shared[at] == keys
-        if hit.any():
+    for block, part in zip(table["block"], np.split(hit, ends[:-1])):
+        if part.any():
             blocks.append(block.as_py())
-            bits.append(np.packbits(hit).tobytes())
+            bits.append(np.packbits(part).tobytes())
     bucket = table["bucket"][0].as_py()
     return pa.table({
-        "block": pa.array(blocks, pa.int64()), "kind": pa.array([2 if kind == np.uint32 else 3] * len(blocks), pa.int32()),
+        "block": pa.array(blocks, pa.int64()), "kind": pa.array([2 if narrow else 3] * len(blocks), pa.int32()),
         "part": pa.array([bucket] * len(blocks), pa.int64()), "data": pa.array(bits, pa.binary()),
     })
 
@@ -186,10 +215,10 @@ def _result(table: pa.Table, block: Block, rows: list[int], copies: dict, gone:
 class RepeatedStrings:
     """Repeated byte strings of ``depth`` bytes or more in the texts of a corpus.
 
-    Suffixes are ordered only as deep as is asked: ``depth`` bytes, by 64-bit
-    names of those bytes, equal names being a tie.  1. Places of a difference
-    cover (period v, in each text) get the name of their ``depth - v + 1`` bytes,
-    and those that occur twice are found.  Any two equal strings of ``depth`` bytes have such a pair
+    Suffixes are ordered only as deep as is asked: ``depth`` bytes, by 96-bit
+    names of those bytes (two hashes), equal names being a tie.  1. Places of a difference
+    cover (period v, in each text) get a shorter name of their ``depth - v + 1`` bytes,
+    and those that seem to occur twice are found.  Any two equal strings of ``depth`` bytes have such a pair
     at the same distance behind their starts, so a suffix without a repeated
     sample within v bytes is unique and never moves.  2. The suffixes left are dealt to
     buckets by name; a bucket is sorted on its own, within bounded memory, and
@@ -246,32 +275,36 @@ class RepeatedStrings:
         """doc_id, n_bytes, n_removed, spans (removed runs as start, end, start, end ...), kept (the bytes left)."""
         depth, n_samples, n_buckets = self.depth, self.samples, self.buckets
 
-        def sent(table: pa.Table, block: Block, keys: np.ndarray, narrow: bool) -> pa.Table:
-            rows = block.messages(keys)
-            # the bucket stands for the upper bits
-            small = keys.astype(np.uint32) if narrow else keys
+        def sent(table: pa.Table, block: Block, first: np.ndarray, second: np.ndarray | None) -> pa.Table:
+            rows = block.messages(first)
+            narrow = second is None
+            # the bucket stands for the upper bits of a narrow name
+            small = first.astype(np.uint32) if narrow else first
             number = table["block"][0].as_py() if table.num_rows else 0
             return pa.table({
                 "bucket": pa.array([b for b, _ in rows], pa.int64()), "block": pa.array([number] * len(rows), pa.int64()),
                 "narrow": pa.array([narrow] * len(rows), pa.bool_()),
-                "keys": pa.array([small[s].tobytes() for _, s in rows], pa.binary()),
+                "keys": pa.array(
+                    [small[s].tobytes() + (b"" if narrow else second[s].tobytes()) for _, s in rows], pa.binary()),
             })
 
         def samples(table: pa.Table, notes: pa.Table) -> pa.Table:
             block = _asked(table, notes, depth, n_samples)[0]
-            return sent(table, block, block.keys(block.sampled, block.width)[0], True)
+            first, second, _, _ = block.keys(block.sampled, block.width, False)
+            return sent(table, block, first, second)
 
         def suffixes(table: pa.Table, notes: pa.Table) -> pa.Table:
             block, _, _, answers = _asked(table, notes, depth, n_samples)
-            places = block.suffixes(block.repeated(block.sampled, block.width, answers[2]))
+            places = block.suffixes(block.repeated(block.sampled, block.width, False, answers[2]))
             block.buckets = n_buckets
-            return sent(table, block, block.keys(places, depth)[0], False)
+            first, second, _, _ = block.keys(places, depth, True)
+            return sent(table, block, first, second)
 
         def removal(table: pa.Table, notes: pa.Table) -> pa.Table:
             block, rows, copies, answers = _asked(table, notes, depth, n_samples)
-            places = block.suffixes(block.repeated(block.sampled, block.width, answers[2]))
+            places = block.suffixes(block.repeated(block.sampled, block.width, False, answers[2]))
             block.buckets = n_buckets
-            starts = block.repeated(places, depth, answers[3])
+            starts = block.repeated(places, depth, True, answers[3])
             return _result(table, block, rows, copies, block.covered(starts))
 
         self._ask(samples)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -116,6 +117,34 @@ def test_repeated_strings_odd_rows(clashing, odd):
     assert suffix_dedup.RepeatedStrings(odd.limit(0)).mark().collect() == []
 
 
+def test_names_that_collide_in_one_hash_stay_apart(monkeypatch):
+    rng = random.Random(11)
+    texts = [bytes(rng.choice(b"aaaaab") for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    blocks = [suffix_dedup.Block(texts[i::4], 14, 1) for i in range(4)]
+    # one number for every byte, so the 64-bit part tells nothing
+    letters = suffix_dedup._LETTERS.copy()
+    letters[0] = letters[0, 0]
+    monkeypatch.setattr(suffix_dedup, "_LETTERS", letters)
+    strings, sent = [], []
+    for number, block in enumerate(blocks):
+        places = block.whole
+        at = np.flatnonzero(places)
+        own = [block.data[a:a + 14].tobytes() for a in at]
+        first, second, back, twice = block.keys(places, 14, True)
+        assert len(set(first.tolist())) == 1 and len(second) == len(set(own))
+        assert [bool(twice[k]) for k in back] == [own.count(x) > 1 for x in own]
+        by_key = {k: x for k, x in zip(back.tolist(), own)}
+        strings.append([by_key[k] for k in range(len(second))])
+        sent.append(first.tobytes() + second.tobytes())
+    table = pa.table({"bucket": [0] * 4, "block": range(4), "narrow": [False] * 4, "keys": sent})
+    answers = {r["block"]: r["data"] for r in suffix_dedup._answer(table).to_pylist()}
+    assert answers
+    for number, own in enumerate(strings):
+        others = {x for k, rest in enumerate(strings) if k != number for x in rest}
+        bits = np.unpackbits(np.frombuffer(answers.get(number, bytes(len(own))), np.uint8), count=len(own))
+        assert bits.astype(bool).tolist() == [x in others for x in own]
+
+
 def test_covers_are_difference_covers():
     for period, cover in suffix_dedup.COVERS.items():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
