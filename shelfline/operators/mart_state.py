@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.functions.columns import round_half_up
 from shelfline.functions.ordering import with_position
-from shelfline.session import materialize
+from shelfline.session import materialize, scratch_scope
 
 SLOTS = 64
 
@@ -135,6 +135,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+@scratch_scope()
 def merge_slots(new: DataFrame, keys: Sequence[str], merged: Mapping[str, Column], batch: int, path: str) -> None:
     """Merges ``new`` (with ``slot``) into the stored slots it touches, by keys in which NULL is a group, and rewrites those."""
     spark = new.sparkSession
@@ -174,6 +175,7 @@ def _numbered(rows: DataFrame, ids: Sequence[str], path: str) -> dict[str, DataF
     return out
 
 
+@scratch_scope()
 def merge_batch(features: DataFrame, batch: int, path: str, only: Sequence[str] | None = None, min_days: int = 30) -> None:
     """Adds a batch of feature rows, late ones included, to the states of the marts under ``path``.
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.operators import cleaning, etl, features, inventory, marts, modeling, quality, sql_features
-from shelfline.session import materialize
+from shelfline.session import materialize, scratch_scope
 from shelfline.sources import readers, writers
 
 _SERIES_LAYOUT = (sql_features.SERIES, ("sale_date",))
@@ -48,6 +48,7 @@ def warehouse_features(sales: DataFrame, stores: DataFrame, products: DataFrame)
     return sql_features.demand_features(etl_stages(sales, stores, products)["enriched"])
 
 
+@scratch_scope()
 def run_training(spark: SparkSession, features_path: str, out: str, models: Mapping | None = None) -> dict[str, str]:
     """Stored features to the best model, the metrics of all models, and the importances of the trees.
 
@@ -68,6 +69,7 @@ def run_training(spark: SparkSession, features_path: str, out: str, models: Mapp
     return paths
 
 
+@scratch_scope()
 def run_frame_track(
     spark: SparkSession, raw: str, out: str, exact: bool = True, models: Mapping | None = None
 ) -> dict[str, str]:
@@ -88,6 +90,7 @@ def run_frame_track(
     return paths | run_training(spark, paths["features"], out, models)
 
 
+@scratch_scope()
 def run_warehouse_track(spark: SparkSession, prefix: str = "") -> list[str]:
     """Declared raw tables to cleaned, feature and mart tables; existing cleaned and feature tables are kept.
 

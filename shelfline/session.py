@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("written", default=None)
+
 
 def get_session(app_name: str = "shelfline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with ANSI mode, UTC and adaptive execution on.
@@ -49,6 +54,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Deletes, when it ends, what ``materialize`` wrote inside; also usable as a decorator.
+
+    For work that has stored its results elsewhere by then: a frame that reads
+    scratch folders of the scope can't be used after it.  It cleans up after a failure
+    too, since such work is run again from its start.  An inner scope has its own
+    folders; what a thread started inside writes belongs to no scope and stays.
+    """
+    written: list[tuple[SparkSession, str]] = []
+    token = _written.set(written)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for spark, path in written:
+            hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -57,5 +82,8 @@ def materialize(df: DataFrame) -> DataFrame:
     lost.
     """
     path = f"{scratch_dir(df.sparkSession)}/shelfline/{uuid.uuid4().hex}"
+    written = _written.get()
+    if written is not None:
+        written.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.functions.joins import null_safe_join
 from shelfline.operators import quality, scoring, sql_features
-from shelfline.session import materialize
+from shelfline.session import materialize, scratch_scope
 
 
 def event_source(spark: SparkSession, path: str, schema, **options) -> DataFrame:
@@ -93,6 +93,7 @@ def run_daily_mart(mart: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     spark.createDataFrame([], schema).write.mode("append").partitionBy("sale_date").parquet(path)
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}-columns")
 
+    @scratch_scope()
     def write(changes: DataFrame, batch: int) -> None:
         new = materialize(changes.select(*schema.names))
         days = F.broadcast(new.select("sale_date").distinct())
@@ -126,6 +127,7 @@ _STORE_SCHEMA = ", ".join(
 )
 
 
+@scratch_scope()
 def merge_store_days(sales: DataFrame, batch: int, path: str) -> None:
     """Adds a batch of enriched sales to the stored sums per day and store.
 

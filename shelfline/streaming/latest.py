@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.functions.joins import null_safe_join
 from shelfline.operators import etl
-from shelfline.session import materialize
+from shelfline.session import materialize, scratch_scope
 from shelfline.sources.readers import path_exists
 
 SLOTS = 64
@@ -30,6 +30,7 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("slot", T.IntegerType())])).option("basePath", f"{path}/records").parquet(f"{path}/records")
 
 
+@scratch_scope()
 def upsert(
     records: DataFrame, batch: int, path: str, keys: Sequence[str] = etl.KEY, loaded_at: str = "loaded_at", slots: int = SLOTS
 ) -> None:

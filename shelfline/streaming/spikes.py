@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.functions.joins import null_safe_join, small_side
 from shelfline.operators.mart_state import SLOTS, merge_slots
-from shelfline.session import materialize
+from shelfline.session import materialize, scratch_scope
 
 _MOMENTS = "struct<n:bigint,mean:double,m2:double>"
 
@@ -27,6 +27,7 @@ def _merged(moments: str) -> Column:
     return F.aggregate(F.collect_list(moments), none, add)  # the stored set and the batch's
 
 
+@scratch_scope()
 def update(rows: DataFrame, batch: int, path: str, by: Sequence[str], value: str = "value") -> None:
     """Takes a batch of observations: their moments are merged into those of their keys, and the rows are kept.
 
