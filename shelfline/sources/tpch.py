@@ -114,14 +114,23 @@ TABLES = {
 }
 # Files of a few splits may hold all their rows in one row group, which one task reads; larger ones are read as they are.
 MAX_SPREAD_BYTES = 256 * 1024 * 1024
+# Line items take some 15 bytes a row in a file, so that a split of the reader's usual size holds ten million.
+SPREAD_PART_BYTES = 8 * 1024 * 1024
 _ROW_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A source table.  One of the large ones whose files are small in all is spread over the cores; any other is read as it is."""
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """A source table.  One of the large ones whose files are small in all is spread over the cores; any other is read as it is.
+
+    ``spread`` spreads large files as well, for readers that hash or sort rows before their first shuffle.  The
+    parts have a bounded size, so a task's rows and memory don't grow with the table.
+    """
     df = spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
-    if name in _ROW_KEY and stored_bytes(df) <= MAX_SPREAD_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism, _ROW_KEY[name])
+    if name in _ROW_KEY:
+        size = stored_bytes(df)
+        if spread or size <= MAX_SPREAD_BYTES:
+            parts = max(spark.sparkContext.defaultParallelism, -(-size // SPREAD_PART_BYTES))
+            df = df.repartition(parts, _ROW_KEY[name])
     return df
 
 
@@ -136,17 +145,19 @@ def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _run(
-    spark: SparkSession, folder: str, sql: str, tables: tuple[str, ...], streams: tuple[str, ...] = ()
+    spark: SparkSession, folder: str, sql: str, tables: tuple[str, ...], streams: tuple[str, ...] = (), spread: bool = False
 ) -> DataFrame:
-    args = {t: (stream if t in streams else table)(spark, folder, t) for t in tables}
+    args = {t: stream(spark, folder, t) if t in streams else table(spark, folder, t, spread) for t in tables}
     for t in tables:
         sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
     return spark.sql(sql, **args)
 
 
-def sales(spark: SparkSession, folder: str, product: str = PRODUCT_BRAND, streaming: bool = False) -> DataFrame:
+def sales(
+    spark: SparkSession, folder: str, product: str = PRODUCT_BRAND, streaming: bool = False, spread: bool = False
+) -> DataFrame:
     """Sales; as a stream, line items arrive while parts are a static table."""
-    return _run(spark, folder, sales_sql(product), ("lineitem", "part"), ("lineitem",) if streaming else ())
+    return _run(spark, folder, sales_sql(product), ("lineitem", "part"), ("lineitem",) if streaming else (), spread)
 
 
 def nation_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,7 +187,7 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
 
     Every 25th order was delivered twice, so whole rows repeat.
     """
-    base = sales(spark, folder)
+    base = sales(spark, folder, spread=True)
     doubles = ["units_sold", "unit_price", "revenue", "discount_pct", "competitor_price"]
     flags = ["is_promotion", "is_holiday"]
     text = F.when(F.col("id") % 211 == 0, "2024-02-30").otherwise(F.col("sale_date").cast("string"))

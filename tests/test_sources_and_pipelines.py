@@ -110,3 +110,31 @@ def test_table_rules(spark, day):
     assert [r["violations"] for r in bad.collect()] == [["sale_date_not_null", "store_id_length"]]
     keys = quality.duplicate_keys(df.withColumn("id", F.lit(1)), schemas.PRIMARY_KEY["sales"])
     assert [(r["id"], r["n"]) for r in keys.collect()] == [(1, 2)]
+
+
+def _line_items(spark, path, n):
+    """Line items of 200 orders over three parts, in one file."""
+    spark.range(n).selectExpr(
+        "id % 200 AS l_orderkey", "id % 3 AS l_partkey", "id % 5 AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber",
+        "CAST(id % 50 + 1 AS DOUBLE) AS l_quantity", "CAST(id * 10 AS DOUBLE) AS l_extendedprice", "0.05D AS l_discount",
+        "0.01D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus",
+        "timestamp_ntz'1996-03-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 90 AS INT)) AS l_shipdate",
+    ).coalesce(1).write.parquet(f"{path}/lineitem.parquet")
+    spark.range(3).selectExpr(
+        "id AS p_partkey", "'n' AS p_name", "concat('Brand#', id) AS p_brand", "'T' AS p_type", "1 AS p_size", "10.5D AS p_retailprice"
+    ).write.parquet(f"{path}/part.parquet")
+
+
+@pytest.mark.parametrize("build", [tpch.raw_sales])
+def test_parts_of_a_spread_table_have_a_bounded_size(spark, tmp_path, monkeypatch, build):
+    path = str(tmp_path)
+    _line_items(spark, path, 3000)
+    whole = build(spark, path)
+    size = tpch.stored_bytes(spark.read.schema(tpch.TABLES["lineitem"]).parquet(f"{path}/lineitem.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(tpch, "SPREAD_PART_BYTES", size // 25, raising=False)
+    for limit in (size, 0):  # a small table and one that used to be read as it is, in splits of any number of rows
+        monkeypatch.setattr(tpch, "MAX_SPREAD_BYTES", limit)
+        rows = build(spark, path)
+        assert rows.rdd.getNumPartitions() >= 25 > cores
+        assert rows.exceptAll(whole).count() == 0 == whole.exceptAll(rows).count()
