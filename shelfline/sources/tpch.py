@@ -178,7 +178,7 @@ def brands(spark: SparkSession, folder: str) -> DataFrame:
 def requests(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     """Forecast requests; as a stream, line items arrive while parts are a static table."""
     return _run(
-        spark, folder, REQUESTS_SQL.format(text="STRING"), ("lineitem", "part"), ("lineitem",) if streaming else ()
+        spark, folder, REQUESTS_SQL.format(text="STRING"), ("lineitem", "part"), ("lineitem",) if streaming else (), spread=True
     )
 
 

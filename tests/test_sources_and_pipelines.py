@@ -125,7 +125,7 @@ def _line_items(spark, path, n):
     ).write.parquet(f"{path}/part.parquet")
 
 
-@pytest.mark.parametrize("build", [tpch.raw_sales])
+@pytest.mark.parametrize("build", [tpch.raw_sales, tpch.requests])
 def test_parts_of_a_spread_table_have_a_bounded_size(spark, tmp_path, monkeypatch, build):
     path = str(tmp_path)
     _line_items(spark, path, 3000)
