@@ -73,14 +73,14 @@ for _mart, _entry in (
 
 @register("stream_latest", catalog._SALES, _warehouse("deduped"))
 def _(spark, folder):
-    """Sales that arrive in four files, those loaded last first."""
+    """Sales that arrive in four deliveries of any number of files, those loaded last first; each is a batch."""
     path = _scratch_path(spark)
     sales = materialize(tpch.sales(spark, folder))
     for k in (3, 1, 2, 0):
         part = F.coalesce(F.pmod(F.datediff("loaded_at", "sale_date"), F.lit(4)), F.lit(0)) == k
-        sales.filter(part).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(sales.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    latest.run_latest(stream, f"{path}/out", f"{path}/state", etl.KEY).awaitTermination()
+        sales.filter(part).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(sales.schema).parquet(f"{path}/in")
+        latest.run_latest(stream, f"{path}/out", f"{path}/state", etl.KEY).awaitTermination()
     return latest.read_latest(spark, f"{path}/out")
 
 

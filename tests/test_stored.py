@@ -6,7 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import DATA
 from shelfline.operators import marts, modeling, partners, sketches
+from shelfline.plans import catalog, stored
+from shelfline.sources import tpch
 from shelfline.streaming import jobs, queue, spikes
 
 
@@ -141,3 +144,15 @@ def test_daily_mart_rewrites_touched_days_only(spark, tmp_path):
     assert run() == [("2024-01-01", "x", 1, 1.0), ("2024-01-02", "x", 1, 2.0), ("2024-01-02", "y", 2, 7.0), ("2024-01-03", "x", 1, 5.0)]
     after = {f: f.stat().st_mtime_ns for f in (tmp_path / "out").glob("sale_date=*/*.parquet")}
     assert {f.parent.name for f, _ in set(before.items()) ^ set(after.items())} == {"sale_date=2024-01-02", "sale_date=2024-01-03"}
+
+
+def test_deliveries_of_the_latest_records_are_batches_of_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "_scratch_path", lambda spark: str(tmp_path))
+    sales = tpch.sales
+    monkeypatch.setattr(tpch, "sales", lambda spark, folder: sales(spark, folder).repartition(5))
+    got = catalog.QUERIES["stream_latest"](spark, DATA)
+    # no delivery goes through a single task
+    assert len(list((tmp_path / "in").glob("*.parquet"))) > 4
+    assert sorted(p.name for p in (tmp_path / "out" / "changes").glob("batch=*")) == [f"batch={k}" for k in range(4)]
+    want = catalog.QUERIES["etl_dedup_latest"](spark, DATA)
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
