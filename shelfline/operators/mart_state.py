@@ -8,7 +8,8 @@ repeated after a failure, even one that had written some of its slots, counts on
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.functions.columns import round_half_up
 from shelfline.functions.ordering import with_position
-from shelfline.session import materialize, scratch_scope
+from shelfline.session import COMPRESSION, materialize, scratch_scope
 
 SLOTS = 64
 
@@ -122,6 +123,13 @@ def mart_states(min_days: int = 30) -> dict[str, MartState]:
     }
 
 
+def used_columns(features: DataFrame, marts: Iterable[MartState]) -> list[str]:
+    """The columns of ``features`` that the states of ``marts`` are made from."""
+    texts = [t for m in marts for t in (*m.keys.values(), *m.sets.values(), *(e for e, _ in m.sums.values()))]
+    words = {w.lower() for t in texts for w in re.findall(r"\w+", t)}
+    return [c for c in features.columns if c.lower() in words]
+
+
 def _slot(mart: MartState) -> Column:
     return F.coalesce(F.expr(mart.slot), F.lit(-1)) if mart.slot else F.pmod(F.xxhash64(*mart.keys), F.lit(SLOTS))
 
@@ -137,20 +145,24 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 @scratch_scope()
 def merge_slots(new: DataFrame, keys: Sequence[str], merged: Mapping[str, Column], batch: int, path: str) -> None:
-    """Merges ``new`` (with ``slot``) into the stored slots it touches, by keys in which NULL is a group, and rewrites those."""
+    """Merges ``new`` (with ``slot``) into the stored slots it touches, by keys in which NULL is a group, and rewrites those.
+
+    Both are dealt by slot once and merged where they are written.  A slot that is read is replaced when
+    all tasks are done.
+    """
     spark = new.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in new.schema}
-    new = materialize(new)
     stored = _stored(spark, path)
     if stored is not None:
+        new = materialize(new)
         touched = F.broadcast(new.select("slot").distinct())  # slots have a fixed bound, or are days or months
         before = stored.select(*new.columns, "batch").join(touched, "slot", "left_semi")
         taken = F.broadcast(before.filter(F.col("batch") >= batch).select("slot").distinct())
         new = new.unionByName(before.drop("batch")).join(taken, "slot", "left_anti")
-    both = new.groupBy("slot", *keys).agg(*[c.cast(kinds[name]).alias(name) for name, c in merged.items()])
-    rows = materialize(both.withColumn("batch", F.lit(batch).cast("long")))
+    both = new.repartition("slot").groupBy("slot", *keys).agg(*[c.cast(kinds[name]).alias(name) for name, c in merged.items()])
     (
-        rows.repartition("slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(path)
+        both.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite").option("compression", COMPRESSION)
+        .option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(path)
     )
 
 
@@ -181,10 +193,11 @@ def merge_batch(features: DataFrame, batch: int, path: str, only: Sequence[str]
 
     Batches are numbered upwards; a number that a slot has taken is not counted again there.
     """
-    rows = materialize(features)
-    for name, mart in mart_states(min_days).items():
-        if only is not None and name not in only:
-            continue
+    chosen = {name: mart for name, mart in mart_states(min_days).items() if only is None or name in only}
+    rows = features.select(*used_columns(features, chosen.values()))
+    if len(chosen) > 1 or any(mart.sets for mart in chosen.values()):
+        rows = materialize(rows)  # sums alone read them once
+    for name, mart in chosen.items():
         keyed = rows.withColumns({k: F.expr(e) for k, e in mart.keys.items()})
         found = keyed.groupBy(*mart.keys).agg(*[F.expr(e).cast(kind).alias(n) for n, (e, kind) in mart.sums.items()])
         if mart.sets:

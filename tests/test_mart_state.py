@@ -92,3 +92,21 @@ def test_stream_null_keys_and_ids(spark, features, tmp_path):
     got = mart_state.read_marts(spark, str(tmp_path / "out"), only)
     assert same(got["mv_regional_demand"], marts.regional_demand(odd))
     assert same(got["mv_promo_impact"], marts.promo_impact(odd))
+
+
+def test_a_batch_is_written_down_once_and_dealt_once(spark, features, tmp_path, monkeypatch):
+    path, only, written = str(tmp_path / "marts"), ["mv_daily_store_demand"], []
+    plain = mart_state.materialize
+    monkeypatch.setattr(mart_state, "materialize", lambda df: written.append(df.columns) or plain(df))
+    mart_state.merge_batch(features.filter("store_id < 'S5'"), 0, path, only)
+    assert not written
+    mart_state.merge_batch(features.filter("store_id >= 'S5'"), 1, path, only)
+    assert len(written) == 1 and "slot" in written[0]
+    assert same(mart_state.read_marts(spark, path, only)[only[0]], marts.daily_store_demand(features))
+
+
+def test_used_columns(features):
+    states = mart_state.mart_states()
+    used = mart_state.used_columns(features.withColumnRenamed("units_sold", "Units_Sold"), [states["mv_daily_store_demand"]])
+    assert set(used) == {"sale_date", "store_id", "region", "store_type", "Units_Sold", "revenue", "price_ratio"}
+    assert "product_id" in mart_state.used_columns(features, [states["mv_regional_demand"]])
