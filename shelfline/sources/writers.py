@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline import schemas
+from shelfline.session import COMPRESSION
 
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ("year", "month")) -> None:
@@ -48,7 +49,7 @@ def create_tables(spark: SparkSession, layer: str = "raw_data") -> list[str]:
                 + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "")
                 for f in schema
             )
-            spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
+            spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (compression '{COMPRESSION}')")
             created.append(table)
     return created
 
@@ -59,17 +60,18 @@ def create_table_as(
     """Save ``df`` as a table unless the table exists; tells whether it was written.
 
     With ``bucket_by`` the rows are dealt into ``buckets`` (the shuffle partitions unless given) by the hash that
-    Spark's joins and windows use, so that readers by these columns need no shuffle.
+    Spark's joins and windows use, so that readers by these columns need no shuffle.  The planner
+    leaves out the exchange for rows that come in these buckets.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         return False
     if not bucket_by:
-        df.write.format("parquet").saveAsTable(table)
+        df.write.format("parquet").option("compression", COMPRESSION).saveAsTable(table)
         return True
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # one task a bucket, one file a bucket
-    writer = df.repartition(buckets, *bucket_by).write.format("parquet").bucketBy(buckets, *bucket_by)
+    writer = df.repartition(buckets, *bucket_by).write.format("parquet").option("compression", COMPRESSION).bucketBy(buckets, *bucket_by)
     (writer.sortBy(*sort_by) if sort_by else writer).saveAsTable(table)
     return True
 
@@ -77,7 +79,7 @@ def create_table_as(
 def refresh_marts(marts: Mapping[str, DataFrame], layer: str = "analytics") -> None:
     """Rewrite every mart table in full."""
     for name, df in marts.items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
+        df.write.mode("overwrite").format("parquet").option("compression", COMPRESSION).saveAsTable(f"{layer}.{name}")
 
 
 def write_report(results: Mapping[str, DataFrame], path: str) -> None:

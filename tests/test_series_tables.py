@@ -1,5 +1,6 @@
 """Bucketed warehouse tables: loads, the latest record, and features without a shuffle."""
 
+import re
 import uuid
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import DATA
 from shelfline.operators import etl, sql_features
 from shelfline.plans import pipelines
+from shelfline.session import settings
 from shelfline.sources import series_tables, tpch, writers
 
 
@@ -99,3 +101,39 @@ def test_warehouse_track_stores_its_tables_in_buckets(spark, sales):
         assert "Exchange" not in plan_of(lags)
     for name in ("raw_data", "cleaned_data", "analytics"):
         spark.sql(f"DROP DATABASE {prefix}{name} CASCADE")
+
+
+def test_rank_in_buckets_equals_the_rank(spark, day):
+    rows = [(day("2024-01-01"), s, p, u) for s, p, u in [
+        ("S1", "P1", 5), ("S1", "P2", None), ("S1", "P3", 7), ("S1", "P4", 5), ("S1", "P4", 5), ("S1", "P4", 6), ("S1", "P4", None), (None, "P1", 3)]]
+    rows.append((None, "S1", "P1", 9))
+    schema = "sale_date date, store_id string, product_id string, units_sold int"
+    for extra in ([], [(day("2024-01-01"), "S1", None, 6)]):
+        df = spark.createDataFrame(rows + extra, schema)
+        got = sql_features.demand_rank_by_series(df)
+        assert got.count() == df.count() and same(sql_features.demand_rank(df), got)
+
+
+def test_warehouse_track_deals_sales_into_buckets_once(spark, sales, monkeypatch):
+    prefix, plans = f"w{uuid.uuid4().hex}_", {}
+    layer = writers.create_layers(spark, prefix)[0]
+    writers.create_tables(spark, layer)
+    for name, df in (("sales", sales), ("stores", tpch.stores(spark, DATA)), ("products", tpch.brands(spark, DATA))):
+        writers.typed(df, name).write.insertInto(f"{layer}.{name}")
+    plain = writers.create_table_as
+
+    def seen(df, table, *args, buckets=None):
+        plans[table.split(".")[1]] = plan_of(df.repartition(buckets or 4, *sql_features.SERIES))
+        return plain(df, table, *args, buckets=buckets)
+
+    monkeypatch.setattr(writers, "create_table_as", seen)
+    with settings(spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        pipelines.run_warehouse_track(spark, prefix)
+    moved = {name: len(re.findall(r"Exchange hashpartitioning", plan)) for name, plan in plans.items()}
+    held = next(name for name in moved if name not in ("sales_enriched", "demand_features"))
+    # for the features only day, series and units, there and back
+    assert (moved[held], moved["sales_enriched"], moved["demand_features"]) == (1, 0, 2)
+    assert [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {prefix}cleaned_data").collect()] == ["sales_enriched"]
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+    for name in ("raw_data", "cleaned_data", "analytics"):
+        spark.sql(f"DROP DATABASE {prefix}{name} CASCADE")
