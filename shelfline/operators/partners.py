@@ -48,7 +48,8 @@ def best_partners(
         F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.struct((F.col("_upto") + i).alias("_place"), F.lit(1).alias("_side"))),
         F.transform(F.sequence(F.lit(1), F.lit(k + 1)), lambda i: F.struct((F.col("_upto") - i).alias("_place"), F.lit(-1).alias("_side"))))
     wanted = asked.select(*group, "left_product", "_left", F.inline(places))
-    met = null_safe_join(wanted, up.unionByName(down), [*group, "_place", "_side"])
+    # both sides grow with the products; the planner counts files, not the rows that inline makes of them, and would broadcast one
+    met = null_safe_join(wanted, up.unionByName(down).hint("merge"), [*group, "_place", "_side"])
     combined = F.col("_left") + value
     distance = F.abs(combined - F.lit(goal))
     near = met.filter((F.col("item") != F.col("left_product")) & (distance <= F.lit(goal * tolerance)))

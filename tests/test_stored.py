@@ -34,6 +34,13 @@ def test_best_partners(spark, limit):
     assert partners.best_partners(df.limit(0), 50, 4, ["g"]).count() == 0
 
 
+def test_partners_meet_by_shuffle(spark):
+    df = spark.createDataFrame([("a", f"p{i}", float(i)) for i in range(60)], "g string, product_id string, demand double")
+    plan = partners.best_partners(df, 50, 4, ["g"])._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [" in line and "_side" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0]
+
+
 def test_sketches_merge_over_days_and_batches(spark, tmp_path):
     rng = random.Random(2)
     rows = [(f"2024-0{1 + i % 3}-{1 + i % 28:02}", i, rng.lognormvariate(2, 1), None if i % 3 else float(i % 5)) for i in range(9000)]
