@@ -71,7 +71,9 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return pipelines.clean(tpch.raw_sales(spark, folder), tpch.stores(spark, folder), tpch.brands(spark, folder))
+    # the cleaning deals the rows itself before it hashes any
+    sales = tpch.raw_sales(spark, folder, spread=False)
+    return pipelines.clean(sales, tpch.stores(spark, folder), tpch.brands(spark, folder))
 
 
 def _frame_features(spark: SparkSession, folder: str) -> DataFrame:

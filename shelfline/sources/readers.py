@@ -15,6 +15,24 @@ SALES_PATHS = ("data/raw/retail_sales.csv", "data/raw/sales.csv")
 STORES_PATH = "data/raw/stores.csv"
 PRODUCTS_PATH = "data/raw/products.csv"
 
+# What one task should hold of the files behind a frame; Parquet rows are many times larger in memory.
+PART_BYTES = 8 * 1024 * 1024
+# More parts than this cost more than they help.
+MAX_PARTS = 10_000
+
+
+def parts_for(df: DataFrame) -> int:
+    """Number of parts to deal ``df`` into, by the size of the files that it reads; at least one for each core.
+
+    Shuffle partitions where the size is not known.
+    """
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= 1 << 62:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, min(-(-size // PART_BYTES), MAX_PARTS))
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whatever file system it names."""

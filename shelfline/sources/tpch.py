@@ -182,12 +182,12 @@ def requests(spark: SparkSession, folder: str, streaming: bool = False) -> DataF
     )
 
 
-def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
+def raw_sales(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:
     """Sales in the CSV form: a text date (some invalid), double measures, repeated rows.
 
     Every 25th order was delivered twice, so whole rows repeat.
     """
-    base = sales(spark, folder, spread=True)
+    base = sales(spark, folder, spread=spread)
     doubles = ["units_sold", "unit_price", "revenue", "discount_pct", "competitor_price"]
     flags = ["is_promotion", "is_holiday"]
     text = F.when(F.col("id") % 211 == 0, "2024-02-30").otherwise(F.col("sale_date").cast("string"))

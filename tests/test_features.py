@@ -161,6 +161,14 @@ def test_built_features_share_one_sort(spark):
     assert features.YEAR not in encoded.columns
 
 
+def test_features_of_cleaned_rows_need_no_shuffle(spark):
+    from shelfline.plans import catalog
+
+    with_ids, encoded = features.build_features(catalog._cleaned(spark, DATA))
+    for df in (with_ids, encoded):
+        assert "Window" in plan_of(df) and "Exchange hashpartitioning" not in plan_of(df)
+
+
 def test_plans_have_no_cross_joins_or_python(spark):
     from shelfline.plans import catalog
 

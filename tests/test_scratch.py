@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import DATA
 from shelfline.operators import mart_state
-from shelfline.session import materialize, scratch_dir, scratch_scope
+from shelfline.session import materialize, materialize_in_buckets, scratch_dir, scratch_scope
 from shelfline.sources import tpch
 from shelfline.streaming import latest, spikes
 
@@ -31,6 +31,19 @@ def test_a_scope_deletes_what_it_wrote(spark):
     assert len(folders(spark) - before) == 2
 
 
+def test_buckets_are_read_without_a_shuffle_and_leave_no_table(spark):
+    before, tables = folders(spark), spark.catalog.listTables()
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), (None, 1, 3.0), (None, 1, 3.0), (None, None, None)], "k string, i int, x double")
+    with scratch_scope():
+        rows = materialize_in_buckets(df, 3, ["k"], ["k", "i"])
+        assert rows.schema == df.schema and sorted(rows.collect(), key=str) == sorted(df.collect(), key=str)
+        sums = rows.groupBy("i", "k").agg(F.sum("x").alias("x"))
+        assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in sums.collect()} == {(1, "a", 1.0), (2, "a", 2.0), (1, None, 6.0), (None, None, None)}
+        assert spark.catalog.listTables() == tables and len(folders(spark) - before) == 1
+    assert folders(spark) == before
+
+
 def test_a_failure_leaves_nothing(spark):
     before = folders(spark)
 

@@ -57,6 +57,16 @@ def test_stage_is_pruned_by_partition(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "text")).count() == 2
 
 
+def test_parts_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(100_000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).filter("id > 3")
+    assert readers.parts_for(df) == cores
+    monkeypatch.setattr(readers, "PART_BYTES", 1000)
+    assert readers.MAX_PARTS > readers.parts_for(df) > cores
+    assert readers.parts_for(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")) == 4
+
+
 def test_frame_track(spark, raw, tmp_path):
     models = {"boosted_trees": modeling.boosted_trees(trees=3, depth=3), "linear": modeling.linear_model()}
     paths = pipelines.run_frame_track(spark, raw, str(tmp_path), models=models)
