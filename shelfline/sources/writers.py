@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfline import schemas
 from shelfline.session import COMPRESSION
 
+# Calendar columns of at most a dozen values.
+_FEW_VALUES = ("month", "quarter", "day_of_week", "is_weekend")
+
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ("year", "month")) -> None:
     """Overwrite a stage, partitioned by calendar columns where it has them.
 
-    Rows of one partition value are hashed by it and by day, so a month is
+    Partitions that are few whatever the rows, such as months, are written by the tasks that hold the rows, without a
+    shuffle.  Otherwise rows of one partition value are hashed by it and by day, so a month of a year is
     written by a few dozen tasks and neither by one task nor by all of them.
     """
     present = [c for c in partition_by if c in df.columns]
-    if present:
+    if any(c not in _FEW_VALUES for c in present):
         spread = [c for c in ("day_of_month", "sale_date") if c in df.columns][:1]
         df = df.repartition(*present, *spread)
     writer = df.write.mode("overwrite").format(fmt)

@@ -57,6 +57,17 @@ def test_stage_is_pruned_by_partition(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "text")).count() == 2
 
 
+def test_months_are_written_where_the_rows_are(spark, tmp_path):
+    df = spark.range(0, 60, 1, 3).selectExpr("id", "2024 AS year", "CAST(id % 2 + 1 AS INT) AS month", "1 AS day_of_month")
+    files = {}
+    for by in (("month",), ("year", "month")):
+        path = tmp_path / "_".join(by)
+        writers.write_stage(df, str(path), partition_by=by)
+        files[by] = [p.name for p in path.rglob("month=1/*.parquet")]
+        assert sorted(r["id"] for r in readers.read_stage(spark, str(path)).collect()) == list(range(60))
+    assert len(files["month",]) == 3 and len(files["year", "month"]) == 1
+
+
 def test_parts_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     spark.range(100_000).write.parquet(str(tmp_path / "t"))
