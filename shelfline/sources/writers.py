@@ -25,8 +25,7 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
         spread = [c for c in ("day_of_month", "sale_date") if c in df.columns][:1]
         df = df.repartition(*present, *spread)
     writer = df.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", True)
+    writer = writer.option("header", True) if fmt == "csv" else writer.option("compression", COMPRESSION)
     if present:
         writer = writer.partitionBy(*present)
     writer.save(path)

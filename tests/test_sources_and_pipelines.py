@@ -66,6 +66,7 @@ def test_months_are_written_where_the_rows_are(spark, tmp_path):
         files[by] = [p.name for p in path.rglob("month=1/*.parquet")]
         assert sorted(r["id"] for r in readers.read_stage(spark, str(path)).collect()) == list(range(60))
     assert len(files["month",]) == 3 and len(files["year", "month"]) == 1
+    assert all(name.endswith(".zstd.parquet") for name in files["month",])
 
 
 def test_parts_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
